@@ -47,7 +47,7 @@ def direction_columns(horizons: Sequence[int] = HORIZONS, deadzone_bps: float =
 
 def volatility_columns(spec: WindowSpec, horizons: Sequence[int] = HORIZONS, ret: str = "log_return") -> dict[str, Column]:
     squared = F.col(ret) * F.col(ret)
-    return {f"y_vol_{h}": F.sqrt(F.greatest(F.lit(0.0), ahead_sum(squared, spec, h))) for h in horizons}
+    return {f"y_vol_{h}": F.sqrt(ahead_sum(squared, spec, h)) for h in horizons}
 
 
 def book_label_columns(

@@ -94,6 +94,8 @@ class Ordered:
     order  -- sort columns, unique within a key, compared ascending
     plain  -- the frame is a table scan, so reading it again costs no recomputation;
               otherwise it is written to the staging folder before being cut
+    at_most -- a cheaper frame with at least as many rows per key, such as the ticks
+              behind bars: while it fits, the frame itself need not be counted
     """
 
     def __init__(
@@ -104,24 +106,35 @@ class Ordered:
         *,
         plain: bool = False,
         limit: int | None = None,
+        at_most: DataFrame | None = None,
     ) -> None:
         self.spark = df.sparkSession
         self.df, self.keys, self.order = df, list(keys), list(order)
         self.cells: list[_Cells] = []
         self._bounds: DataFrame | None = None
         wanted = limit or chunk_rows(self.spark)
-        per_key = df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("n"))
-        total, largest = per_key.agg(F.sum("n"), F.max("n")).first()
-        if (largest or 0) <= wanted:
+        if at_most is not None and self._sizes(at_most)[1] <= wanted:
+            return
+        if at_most is not None and not plain:
+            self.df, plain = stage(df), True
+        total, largest = self._sizes(self.df)
+        if largest <= wanted:
             return
         self.limit = max(wanted, ceil(total * CELLS_PER_RANGE / MAX_CELLS))
         if not plain:
             self.df = stage(df)
-            per_key = self.df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("n"))
-        self._cut(per_key.where(F.col("n") > self.limit))
+        self._cut(self._per_key(self.df).where(F.col("n") > self.limit))
 
     # -- planning ---------------------------------------------------------------
 
+    def _per_key(self, df: DataFrame) -> DataFrame:
+        return df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("n"))
+
+    def _sizes(self, df: DataFrame) -> tuple[int, int]:
+        """Rows in all and in the largest key."""
+        total, largest = self._per_key(df).agg(F.sum("n"), F.max("n")).first()
+        return total or 0, largest or 0
+
     def _same_key(self, left: DataFrame, right: DataFrame) -> Column:
         cond = F.lit(True)
         for k in self.keys:

@@ -107,8 +107,10 @@ def rolling_flow(
     by: Sequence[str] = ("symbol",),
     ts: str = "ts",
     advanced: bool = False,
+    trades: DataFrame | None = None,
 ) -> DataFrame:
-    """Rolling order-flow features of flow bars; ``advanced`` adds the second set."""
+    """Rolling order-flow features of flow bars; ``advanced`` adds the second set.
+    With the ``trades`` behind the bars, small inputs skip counting the bars."""
 
     def add(df: DataFrame, w: WindowSpec) -> DataFrame:
         out = flow_rolling_columns(w, windows)
@@ -118,7 +120,7 @@ def rolling_flow(
 
     if advanced:
         bars = bars.withColumns(advanced_columns())
-    return Ordered(bars, by, [ts]).windows(add, back=2 * max(windows))
+    return Ordered(bars, by, [ts], at_most=trades).windows(add, back=2 * max(windows))
 
 
 def book_rolling_columns(spec: WindowSpec, windows: Sequence[int] = WINDOWS) -> dict[str, Column]:

@@ -95,7 +95,8 @@ def trade_features(
             made |= advanced_rolling_columns(w, windows)
         return df.withColumns(made)
 
-    made = Ordered(bars, ["symbol"], ["ts"]).windows(add, back=2 * max(windows), forward=max(horizons))
+    rows = Ordered(bars, ["symbol"], ["ts"], at_most=trades)
+    made = rows.windows(add, back=2 * max(windows), forward=max(horizons))
     return made.withColumns(direction_columns(horizons, deadzone_bps))
 
 

@@ -232,7 +232,7 @@ def _roll_flow_sql() -> str:
 
 @query(_roll_flow_sql())
 def roll_flow(v: Views):
-    out = windows.rolling_flow(flow(v), W)
+    out = windows.rolling_flow(flow(v), W, trades=v.trades)
     return out.select("symbol", "ts", *[c for c in out.columns if c.rsplit("_", 1)[-1] in map(str, W)])
 
 
@@ -268,7 +268,7 @@ ADVANCED = ("toxicity", "imb_volatility", "trade_rate", "vol_accel", "trade_size
 
 @query(_roll_advanced_sql())
 def roll_advanced(v: Views):
-    out = windows.rolling_flow(flow(v), W, advanced=True)
+    out = windows.rolling_flow(flow(v), W, advanced=True, trades=v.trades)
     return out.select("symbol", "ts", *[f"{a}_{w}" for w in W for a in ADVANCED])
 
 
