@@ -1,4 +1,6 @@
-"""Compare queries with their SQL on DuckDB: ``python -m workload.check [sf] [name..]``."""
+"""Compare queries with their SQL on DuckDB:
+``python -m workload.check [sf] [--chunk N] [name..]``. A small chunk size makes every
+ordered operator cut its series into ranges."""
 
 from __future__ import annotations
 
@@ -49,11 +51,16 @@ def differences(df, con: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
 
 
 def main() -> None:
-    from tickspark.session import get_session
+    from tickspark.session import CHUNK_ROWS, get_session
     from workload import ORACLE, QUERIES
 
-    sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
-    names = sys.argv[2:] or list(QUERIES)
+    args = sys.argv[1:]
+    sf = args.pop(0) if args and args[0][0].isdigit() else "0.01"
+    chunk = {}
+    if args[:1] == ["--chunk"]:
+        chunk[CHUNK_ROWS] = args[1]
+        args = args[2:]
+    names = args or list(QUERIES)
     sf_dir = f"/root/testdata/sf{sf}"
     spark = get_session(
         "check",
@@ -66,6 +73,8 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
+    for key, value in chunk.items():
+        spark.conf.set(key, value)
     con = connect(sf_dir)
     bad = 0
     for name in names:
