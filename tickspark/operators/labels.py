@@ -50,7 +50,7 @@ def volatility_columns(spec: WindowSpec, horizons: Sequence[int] = HORIZONS, ret
     return {f"y_vol_{h}": F.sqrt(ahead_sum(squared, spec, h)) for h in horizons}
 
 
-def book_label_columns(
+def with_book_labels(
     df: DataFrame,
     spec: WindowSpec,
     horizons: Sequence[int] = HORIZONS,
@@ -129,7 +129,7 @@ def add_book_labels(
     """Book labels per segment."""
     return _labelled(
         book,
-        lambda d, w: book_label_columns(d, w, horizons, deadzone, fixed_bps),
+        lambda d, w: with_book_labels(d, w, horizons, deadzone, fixed_bps),
         max(horizons),
         by,
         order,

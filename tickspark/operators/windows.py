@@ -1,14 +1,14 @@
-"""Rolling, lag and fill features. The ``*_columns`` builders give expressions for
-one window spec, so every feature of a series is computed on one shared sort; the
-other functions run them through ``Ordered``.
+"""Rolling, lag and fill features. The ``with_*`` functions add features for one
+window spec, so every feature of a series is computed on one shared sort; the other
+functions run them through ``Ordered``.
 
-``rolling`` has the two conventions of the domain: by default a value exists only
-where the frame holds ``w`` non-NULL values, and ``min_periods=1`` accepts any.
+Rolling values follow the two conventions of the domain: trade bars have a value
+only where the window holds ``w`` non-NULL values, books and ticks accept any.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
@@ -28,6 +28,7 @@ from tickspark.functions.expr import (
     tick_columns,
 )
 from tickspark.operators.ordered import Ordered
+from tickspark.operators.rolling import Rolling
 
 # Default windows (bars, book, live ticks) and lags.
 WINDOWS = (5, 15, 60, 300)
@@ -36,59 +37,49 @@ FLOW_WINDOWS = (10, 30)
 TICK_LAGS = (1, 5, 10)
 
 
-def rolling(
-    agg: Callable[[Column], Column],
-    value: Column | str,
-    spec: WindowSpec,
-    size: int,
-    min_periods: int | None = None,
-) -> Column:
-    """``agg`` over the last ``size`` rows, NULL below ``min_periods`` values."""
-    value = F.col(value) if isinstance(value, str) else value
-    frame = spec.rowsBetween(1 - size, 0)
-    needed = size if min_periods is None else min_periods
-    return F.when(F.count(value).over(frame) >= needed, agg(value).over(frame))
-
-
-def flow_rolling_columns(spec: WindowSpec, windows: Sequence[int] = WINDOWS) -> dict[str, Column]:
+def flow_rolling(r: Rolling, windows: Sequence[int]) -> dict[str, Column]:
     out = {}
     for w in windows:
-        out[f"vol_sum_{w}"] = rolling(F.sum, "volume", spec, w)
-        out[f"vol_imb_mean_{w}"] = rolling(F.avg, "volume_imbalance", spec, w)
-        out[f"trade_imb_mean_{w}"] = rolling(F.avg, "trade_imbalance", spec, w)
-        out[f"ret_std_{w}"] = rolling(F.stddev_samp, "log_return", spec, w)
-        out[f"net_vol_sum_{w}"] = rolling(F.sum, "net_volume", spec, w)
-        out[f"vwap_dev_{w}"] = div(F.col("close") - rolling(F.avg, "vwap", spec, w), "close")
+        out[f"vol_sum_{w}"] = r.sum("volume", w)
+        out[f"vol_imb_mean_{w}"] = r.avg("volume_imbalance", w)
+        out[f"trade_imb_mean_{w}"] = r.avg("trade_imbalance", w)
+        out[f"ret_std_{w}"] = r.std("log_return", w)
+        out[f"net_vol_sum_{w}"] = r.sum("net_volume", w)
+        out[f"vwap_dev_{w}"] = div(F.col("close") - r.avg("vwap", w), "close")
     return out
 
 
-def advanced_rolling_columns(spec: WindowSpec, windows: Sequence[int] = WINDOWS) -> dict[str, Column]:
-    """Needs the columns of ``advanced_columns``; frames reach back 2 * max(windows)."""
+def advanced_rolling(r: Rolling, windows: Sequence[int]) -> dict[str, Column]:
+    """Needs the columns of ``advanced_columns`` and ``__cross``; windows reach back
+    twice the largest."""
     out = {}
-    cross = F.col("log_return") * F.lag("log_return").over(spec)
     for w in windows:
-        mean_volume = rolling(F.avg, "volume", spec, w)
-        moved = rolling(F.sum, "log_return", spec, w)
-        out[f"toxicity_{w}"] = rolling(F.avg, F.abs("volume_imbalance"), spec, w)
-        out[f"imb_volatility_{w}"] = rolling(F.stddev_samp, "volume_imbalance", spec, w)
-        out[f"trade_rate_{w}"] = rolling(F.avg, "num_trades", spec, w)
-        out[f"vol_accel_{w}"] = mean_volume - F.lag(mean_volume, w).over(spec)
-        out[f"trade_size_ratio_{w}"] = div(
-            "avg_trade_size", rolling(F.avg, "avg_trade_size", spec, w) + EPS_BARS
-        )
+        moved = r.sum("log_return", w)
+        out[f"toxicity_{w}"] = r.avg(F.abs("volume_imbalance"), w)
+        out[f"imb_volatility_{w}"] = r.std("volume_imbalance", w)
+        out[f"trade_rate_{w}"] = r.avg("num_trades", w)
+        out[f"vol_accel_{w}"] = r.avg("volume", w) - r.avg("volume", w, back=w)
+        out[f"trade_size_ratio_{w}"] = div("avg_trade_size", r.avg("avg_trade_size", w) + EPS_BARS)
         out[f"momentum_{w}"] = moved
-        out[f"ret_autocorr_{w}"] = rolling(F.avg, cross, spec, w)
-        out[f"kyle_lambda_{w}"] = rolling(F.sum, "signed_volume", spec, w)
-        out[f"price_impact_{w}"] = div(moved, rolling(F.sum, "volume", spec, w) + EPS_BARS)
-        out[f"vwap_tracking_{w}"] = rolling(F.avg, F.abs("price_efficiency"), spec, w)
-        out[f"range_ratio_{w}"] = div("rel_range", rolling(F.avg, "rel_range", spec, w) + EPS_BARS)
-        out[f"intensity_momentum_{w}"] = div(
-            rolling(F.avg, "trade_intensity", spec, w),
-            rolling(F.avg, "trade_intensity", spec, 2 * w) + EPS_BARS,
-        )
+        out[f"ret_autocorr_{w}"] = r.avg("__cross", w)
+        out[f"kyle_lambda_{w}"] = r.sum("signed_volume", w)
+        out[f"price_impact_{w}"] = div(moved, r.sum("volume", w) + EPS_BARS)
+        out[f"vwap_tracking_{w}"] = r.avg(F.abs("price_efficiency"), w)
+        out[f"range_ratio_{w}"] = div("rel_range", r.avg("rel_range", w) + EPS_BARS)
+        slower = r.avg("trade_intensity", 2 * w) + EPS_BARS
+        out[f"intensity_momentum_{w}"] = div(r.avg("trade_intensity", w), slower)
     return out
 
 
+def with_flow_rolling(df: DataFrame, spec: WindowSpec, windows: Sequence[int] = WINDOWS, advanced: bool = False) -> DataFrame:
+    r = Rolling(spec)
+    made = flow_rolling(r, windows)
+    if advanced:
+        made |= advanced_rolling(r, windows)
+        df = df.withColumn("__cross", F.col("log_return") * F.lag("log_return").over(spec))
+    return r.detach(r.attach(df).withColumns(made)).drop("__cross")
+
+
 def kyle_lambda_ols(spec: WindowSpec, windows: Sequence[int] = WINDOWS) -> dict[str, Column]:
     """Slope of log return on signed volume over full windows."""
     out = {}
@@ -111,28 +102,25 @@ def rolling_flow(
 ) -> DataFrame:
     """Rolling order-flow features of flow bars; ``advanced`` adds the second set.
     With the ``trades`` behind the bars, small inputs skip counting the bars."""
-
-    def add(df: DataFrame, w: WindowSpec) -> DataFrame:
-        out = flow_rolling_columns(w, windows)
-        if advanced:
-            out |= advanced_rolling_columns(w, windows)
-        return df.withColumns(out)
-
     if advanced:
         bars = bars.withColumns(advanced_columns())
-    return Ordered(bars, by, [ts], at_most=trades).windows(add, back=2 * max(windows))
+    return Ordered(bars, by, [ts], at_most=trades).windows(
+        lambda d, w: with_flow_rolling(d, w, windows, advanced), back=2 * max(windows)
+    )
 
 
-def book_rolling_columns(spec: WindowSpec, windows: Sequence[int] = WINDOWS) -> dict[str, Column]:
-    """Rolling book features accepting any number of rows; needs r1."""
-    out = {}
+def with_book_rolling(df: DataFrame, spec: WindowSpec, windows: Sequence[int] = WINDOWS) -> DataFrame:
+    """r1 and rolling book features accepting any number of rows."""
+    r = Rolling(spec, min_periods=1)
+    made = {}
     for w in windows:
-        out[f"r1_std_{w}"] = rolling(F.stddev_samp, "r1", spec, w, 1)
-        out[f"vol_sum_{w}"] = rolling(F.sum, "vol_base", spec, w, 1)
-        out[f"not_sum_{w}"] = rolling(F.sum, "notional", spec, w, 1)
-        out[f"imb_mean_{w}"] = rolling(F.avg, "imb", spec, w, 1)
-        out[f"spr_mean_{w}"] = rolling(F.avg, "rel_spread", spec, w, 1)
-    return out
+        made[f"r1_std_{w}"] = r.std("r1", w)
+        made[f"vol_sum_{w}"] = r.sum("vol_base", w)
+        made[f"not_sum_{w}"] = r.sum("notional", w)
+        made[f"imb_mean_{w}"] = r.avg("imb", w)
+        made[f"spr_mean_{w}"] = r.avg("rel_spread", w)
+    df = df.withColumn("r1", F.col("log_mid") - F.lag("log_mid").over(spec))
+    return r.detach(r.attach(df).withColumns(made))
 
 
 def segment_rolling(
@@ -143,12 +131,9 @@ def segment_rolling(
     order: Sequence[str] = ("ts",),
 ) -> DataFrame:
     """r1 and rolling book features that never cross a segment."""
-
-    def add(df: DataFrame, w: WindowSpec) -> DataFrame:
-        df = df.withColumn("r1", F.col("log_mid") - F.lag("log_mid").over(w))
-        return df.withColumns(book_rolling_columns(w, windows))
-
-    return Ordered(book, by, order).windows(add, back=max(windows), within=["segment_id"])
+    return Ordered(book, by, order).windows(
+        lambda d, w: with_book_rolling(d, w, windows), back=max(windows) + 1, within=["segment_id"]
+    )
 
 
 def add_lags(
@@ -182,36 +167,36 @@ def add_rolling(
     """``{col}_ma{w}`` and ``{col}_std{w}`` for every base column."""
     names = base_columns(df, columns)
     return Ordered(df, by, order).windows(
-        lambda d, w: d.withColumns(mean_std_columns(d, w, names, windows)), back=max(windows)
+        lambda d, w: with_mean_std(d, w, names, windows), back=max(windows)
     )
 
 
-def mean_std_columns(
-    df: DataFrame, spec: WindowSpec, columns: Sequence[str], windows: Sequence[int]
-) -> dict[str, Column]:
+def with_mean_std(df: DataFrame, spec: WindowSpec, columns: Sequence[str], windows: Sequence[int]) -> DataFrame:
+    r = Rolling(spec)
     made = {}
     for c in columns:
         for w in windows:
-            made[f"{c}_ma{w}"] = rolling(F.avg, c, spec, w)
-            made[f"{c}_std{w}"] = rolling(F.stddev_samp, c, spec, w)
-    return {n: c for n, c in made.items() if n not in df.columns}
+            if f"{c}_ma{w}" not in df.columns:
+                made[f"{c}_ma{w}"] = r.avg(c, w)
+            if f"{c}_std{w}" not in df.columns:
+                made[f"{c}_std{w}"] = r.std(c, w)
+    return r.detach(r.attach(df).withColumns(made)) if made else df
 
 
-def tick_rolling_columns(spec: WindowSpec) -> dict[str, Column]:
-    """Rolling and lag features of live ticks; needs return_1."""
-    out = {}
+def with_tick_rolling(df: DataFrame, spec: WindowSpec) -> DataFrame:
+    """Return, rolling and lag features of live ticks."""
+    r = Rolling(spec, min_periods=1)
+    made = {}
     for w in TICK_WINDOWS:
-        out[f"price_ma_{w}"] = rolling(F.avg, "price", spec, w, 1)
-        out[f"price_std_{w}"] = rolling(F.stddev_samp, "price", spec, w, 1)
-        out[f"volume_sum_{w}"] = rolling(F.sum, "qty", spec, w, 1)
-        out[f"return_ma_{w}"] = rolling(F.avg, "return_1", spec, w, 1)
-    for k in TICK_LAGS:
-        out[f"price_lag_{k}"] = F.lag("price", k).over(spec)
-        out[f"return_lag_{k}"] = F.lag("return_1", k).over(spec)
-    flow = F.col("trade_direction") * F.col("qty")
+        made[f"price_ma_{w}"] = r.avg("price", w)
+        made[f"price_std_{w}"] = r.std("price", w)
+        made[f"volume_sum_{w}"] = r.sum("qty", w)
+        made[f"return_ma_{w}"] = r.avg("return_1", w)
     for w in FLOW_WINDOWS:
-        out[f"order_flow_{w}"] = rolling(F.sum, flow, spec, w, 1)
-    return out
+        made[f"order_flow_{w}"] = r.sum(F.col("trade_direction") * F.col("qty"), w)
+    df = df.withColumn("return_1", div("price", F.lag("price").over(spec)) - 1)
+    df = df.withColumns({f"{n}_lag_{k}": F.lag(c, k).over(spec) for k in TICK_LAGS for n, c in (("price", "price"), ("return", "return_1"))})
+    return r.detach(r.attach(df).withColumns(made))
 
 
 def tick_features(
@@ -224,13 +209,8 @@ def tick_features(
     """Live tick features over ticks with price, qty and trade_direction.
     Add the file path to ``by`` to restart the state at each file."""
     by = [c for c in by if c in ticks.columns]
-
-    def add(df: DataFrame, w: WindowSpec) -> DataFrame:
-        df = df.withColumn("return_1", div("price", F.lag("price").over(w)) - 1)
-        return df.withColumns(tick_rolling_columns(w))
-
     reach = max(*TICK_WINDOWS, *TICK_LAGS, *FLOW_WINDOWS) + 1
-    rows = Ordered(ticks, by, order, plain=plain).windows(add, back=reach)
+    rows = Ordered(ticks, by, order, plain=plain).windows(with_tick_rolling, back=reach)
     return rows.withColumns(tick_columns())
 
 
@@ -271,8 +251,8 @@ def engineered(
     rolled = base_columns(df, prices[:2] + volumes[:1])
 
     def add(d: DataFrame, w: WindowSpec) -> DataFrame:
-        made = lag_columns(d, w, lagged, lags) | mean_std_columns(d, w, rolled, windows)
-        return d.withColumns(made) if made else d
+        made = lag_columns(d, w, lagged, lags)
+        return with_mean_std(d.withColumns(made) if made else d, w, rolled, windows)
 
     made = Ordered(df, by, order).windows(add, back=max(*lags, *windows))
     # A label without a future stays NULL.

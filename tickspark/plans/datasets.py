@@ -32,13 +32,13 @@ from tickspark.operators.bars import (
 from tickspark.operators.labels import (
     DEADZONE_BPS,
     HORIZONS,
-    book_label_columns,
     create_labels,
     direction_columns,
     execution_labels,
     price_move_labels,
     return_columns,
     training_labels,
+    with_book_labels,
 )
 from tickspark.operators.models import Fitted, fit
 from tickspark.operators.ordered import Ordered
@@ -46,13 +46,12 @@ from tickspark.operators.scaling import Scaler, fit_scaler, fit_transform
 from tickspark.operators.splits import EMBARGO, TRAIN, VAL, split_hash, split_rows, split_segments, split_three, split_time
 from tickspark.operators.windows import (
     WINDOWS,
-    advanced_rolling_columns,
-    book_rolling_columns,
     engineered,
-    flow_rolling_columns,
     forward_fill,
     rolling_flow,
     sequences,
+    with_book_rolling,
+    with_flow_rolling,
 )
 from tickspark.session import stage
 from tickspark.sources.sinks import write_json, write_splits
@@ -90,10 +89,8 @@ def trade_features(
         bars = bars.withColumns(advanced_columns())
 
     def add(df: DataFrame, w: WindowSpec) -> DataFrame:
-        made = flow_rolling_columns(w, windows) | return_columns(w, horizons)
-        if advanced:
-            made |= advanced_rolling_columns(w, windows)
-        return df.withColumns(made)
+        # Leads first: rolling features end the work on the sorted series.
+        return with_flow_rolling(df.withColumns(return_columns(w, horizons)), w, windows, advanced)
 
     rows = Ordered(bars, ["symbol"], ["ts"], at_most=trades)
     made = rows.windows(add, back=2 * max(windows), forward=max(horizons))
@@ -197,8 +194,7 @@ def book_dataset(
 
     def add(df: DataFrame, w: WindowSpec) -> DataFrame:
         df = df.withColumn("r1", F.col("log_mid") - F.lag("log_mid").over(w))
-        df = df.withColumns(book_rolling_columns(w, windows))
-        return book_label_columns(df, w, horizons, deadzone, fixed_bps)
+        return with_book_rolling(with_book_labels(df, w, horizons, deadzone, fixed_bps), w, windows)
 
     rows = Ordered(parts, by, ["ts"]).windows(
         add, back=max(windows) + 1, forward=max(horizons), within=["segment_id"]
