@@ -112,7 +112,8 @@ def parse_ts(text: Column | str) -> Column:
     """``yyyy-MM-dd HH:mm:ss[.SSS]`` or ISO text to a naive timestamp, else NULL."""
     text = _c(text)
     spaced = F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSS]"))
-    return F.coalesce(spaced, text.try_cast("timestamp")).cast("timestamp_ntz")
+    iso = F.when(text.rlike(r"^\s*\d{4}-\d{2}-\d{2}"), text.try_cast("timestamp"))
+    return F.coalesce(spaced, iso).cast("timestamp_ntz")
 
 
 def micros(ts: Column | str) -> Column:
