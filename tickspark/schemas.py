@@ -5,8 +5,18 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "string": T.StringType(),
+}
+
+
+def _struct(columns: str) -> T.StructType:
+    """``name type, ...``; ``StructType.fromDDL`` would need a running session."""
+    pairs = [c.split() for c in columns.split(",")]
+    return T.StructType([T.StructField(n, _TYPES[t]) for n, t in pairs])
 
 
 # Columns of the public files, which carry no header.

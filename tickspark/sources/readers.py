@@ -290,16 +290,19 @@ def read_features(
     days_back: int = 7,
     *,
     today: dt.date | None = None,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
     """Feature parquet below ``root/symbol/date/hour/`` for an inclusive date range
     or the last ``days_back`` days. Only the folders of those dates are listed;
-    unreadable files are skipped."""
+    unreadable files are skipped. Without a schema it is taken from one file, which
+    has to be readable."""
     end = end or today or dt.date.today()
     start = start or end - dt.timedelta(days=days_back)
     days = [(start + dt.timedelta(days=i)).isoformat() for i in range((end - start).days + 1)]
     glob = f"{root.rstrip('/')}/{{{','.join(symbols)}}}/{{{','.join(days)}}}/*/*.parquet"
     path = F.col("_metadata.file_path")
-    found = spark.read.option("ignoreCorruptFiles", "true").parquet(glob)
+    reader = spark.read.option("ignoreCorruptFiles", "true")
+    found = (reader.schema(schema) if schema else reader).parquet(glob)
     return found.drop("symbol", "date", "hour").select(
         "*",
         F.regexp_extract(path, r"/([^/]+)/\d{4}-\d{2}-\d{2}/[^/]+/[^/]+$", 1).alias("symbol"),

@@ -149,14 +149,14 @@ _STATE = ", ".join(f"{p}_{c} array<{t}>" for p in ("old", "new") for c, t in zip
 
 
 def tick_feature_schema() -> T.StructType:
-    names = ["return_1"]
+    names = ["price", "qty", "side", "return_1"]
     for w in TICK_WINDOWS:
         names += [f"price_ma_{w}", f"price_std_{w}", f"volume_sum_{w}", f"return_ma_{w}"]
     for k in TICK_LAGS:
         names += [f"price_lag_{k}", f"return_lag_{k}"]
     names += [f"order_flow_{w}" for w in FLOW_WINDOWS]
-    head = "symbol string, at bigint, price double, qty double, side double, "
-    return T.StructType.fromDDL(head + ", ".join(f"{n} double" for n in names))
+    head = [T.StructField("symbol", T.StringType()), T.StructField("at", T.LongType())]
+    return T.StructType(head + [T.StructField(n, T.DoubleType()) for n in names])
 
 
 def stream_tick_features(ticks: DataFrame, *, delay: str = "10 seconds", ts: str = "ts") -> DataFrame:
