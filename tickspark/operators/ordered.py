@@ -30,10 +30,10 @@ from pyspark.sql import functions as F
 from tickspark.session import chunk_rows, stage
 
 CELLS_PER_RANGE = 8
-MAX_CELLS = 65_536
+MAX_CELLS = 1 << 18
 
 _RANGE, _CELL, _OWN, _SLOT = "__range", "__cell", "__own", "__slot"
-_BOUNDS, _OF, _COPIES, _START = "__bounds", "__range_of", "__copies", "__start"
+_BOUNDS, _OF, _COPIES, _START, _TOTAL = "__bounds", "__range_of", "__copies", "__start", "__total"
 
 
 @dataclass(frozen=True)
@@ -164,16 +164,17 @@ class Ordered:
         # One row per oversized key; all arrays together hold about MAX_CELLS values.
         bounds = sampled.groupBy(*self.keys).agg(F.array_sort(F.collect_set(_SLOT)).alias(_BOUNDS))
         self._bounds = stage(bounds)
+        sizes = {
+            tuple(r[k] for k in self.keys): r["c"]
+            for r in self._bounds.select(*self.keys, F.size(_BOUNDS).alias("c")).collect()
+        }
+        self._search_steps = max(sizes.values(), default=0).bit_length()
         counted = (
             self._with_cell(self.df.select(*self.keys, *self.order))
             .where(F.col(_CELL).isNotNull())
             .groupBy(*self.keys, _CELL)
             .agg(F.count(F.lit(1)).alias("n"))
         )
-        sizes = {
-            tuple(r[k] for k in self.keys): r["c"]
-            for r in self._bounds.select(*self.keys, F.size(_BOUNDS).alias("c")).collect()
-        }
         counts = {key: [0] * (c + 1) for key, c in sizes.items()}
         for row in counted.collect():
             counts[tuple(row[k] for k in self.keys)][row[_CELL]] = row["n"]
@@ -181,7 +182,7 @@ class Ordered:
 
     def _with_cell(self, df: DataFrame) -> DataFrame:
         """Cell number by binary search of the boundaries; NULL for small keys."""
-        steps = F.array(*[F.lit(1 << i) for i in range(MAX_CELLS.bit_length(), -1, -1)])
+        steps = F.array(*[F.lit(1 << i) for i in range(self._search_steps, -1, -1)])
         here = F.struct(*self.order)
         cell = F.aggregate(
             steps,
@@ -197,14 +198,14 @@ class Ordered:
         """Per oversized key: range, copies and first row number of every cell."""
         key_type = self.df.select(*self.keys).schema
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in key_type)
-        tail = f"{_OF} array<int>, {_COPIES} array<array<int>>, {_START} array<bigint>"
+        tail = f"{_OF} array<int>, {_COPIES} array<array<int>>, {_START} array<bigint>, {_TOTAL} bigint"
         rows = []
         for c in self.cells:
             first: dict[int, int] = {}
             for start, rng in zip(c.starts, c.range_of):
                 first.setdefault(rng, start)
             starts = [first[r] for r in sorted(first)]
-            rows.append((*c.key, c.range_of, c.copies(back, forward), starts))
+            rows.append((*c.key, c.range_of, c.copies(back, forward), starts, sum(c.counts)))
         return self.spark.createDataFrame(rows, f"{fields}, {tail}" if fields else tail)
 
     def ranges(self) -> DataFrame:
@@ -221,7 +222,8 @@ class Ordered:
         return bool(self.cells)
 
     def assigned(self) -> DataFrame:
-        """The frame with its range; small keys are range 0."""
+        """The frame with its range, the rows before that range and, for oversized
+        keys, the rows of the key. Small keys are range 0."""
         out = self._attach(self._with_cell(self.df), self._layout())
         out = out.withColumn(_RANGE, F.coalesce(F.get(_OF, F.col(_CELL)), F.lit(0)))
         out = out.withColumn(_START, F.coalesce(F.get(_START, F.col(_RANGE)), F.lit(0).cast("bigint")))
@@ -233,7 +235,7 @@ class Ordered:
         copies = F.coalesce(F.get(_COPIES, F.col(_CELL)), F.array(F.lit(0)))
         out = out.withColumn(_OF, own).withColumn(_RANGE, F.explode(copies))
         out = out.withColumn(_OWN, F.col(_RANGE) == F.col(_OF))
-        return out.drop(_OF, _COPIES, _START, _CELL)
+        return out.drop(_OF, _COPIES, _START, _TOTAL, _CELL)
 
     # -- operators --------------------------------------------------------------
 
@@ -256,12 +258,30 @@ class Ordered:
 
     def row_number(self, name: str = "row_number") -> DataFrame:
         """Exact 1-based position inside the key."""
+        return self.positions(name, "__size").drop("__size")
+
+    def positions(self, number: str, size: str, **whole: Column) -> DataFrame:
+        """1-based position in the key and rows of the key. ``whole`` adds aggregates
+        over the whole key, which may use both."""
         if not self.is_cut:
-            w = Window.partitionBy(*self.keys).orderBy(*self.order)
-            return self.df.withColumn(name, F.row_number().over(w).cast("bigint"))
-        w = Window.partitionBy(*self.keys, _RANGE).orderBy(*self.order)
-        out = self.assigned().withColumn(name, F.row_number().over(w) + F.col(_START))
-        return out.drop(_RANGE, _START)
+            w = Window.partitionBy(*self.keys)
+            at, n = F.row_number().over(w.orderBy(*self.order)), F.count(F.lit(1)).over(w)
+            out = self.df.withColumns({number: at.cast("bigint"), size: n})
+            return out.withColumns({name: agg.over(w) for name, agg in whole.items()})
+        w = Window.partitionBy(*self.keys, _RANGE)
+        at = F.row_number().over(w.orderBy(*self.order)) + F.col(_START)
+        n = F.coalesce(F.col(_TOTAL), F.count(F.lit(1)).over(w))
+        out = self.assigned().withColumns({number: at, size: n})
+        if whole:
+            # One row per oversized key; a small key lies in one range.
+            cut = out.where(F.col(_TOTAL).isNotNull()).groupBy(*self.keys)
+            side = cut.agg(*[agg.alias(f"__all_{name}") for name, agg in whole.items()])
+            out = self._attach(out, side)
+            cut_key = F.col(_TOTAL).isNotNull()
+            out = out.withColumns(
+                {n: F.when(cut_key, F.col(f"__all_{n}")).otherwise(agg.over(w)) for n, agg in whole.items()}
+            )
+        return out.drop(_RANGE, _START, _TOTAL, *[f"__all_{n}" for n in whole])
 
     def running_sum(self, **sums: Column) -> DataFrame:
         """Running totals up to and including each row; NULL counts as 0."""
@@ -271,7 +291,7 @@ class Ordered:
             return self.df.withColumns({n: F.coalesce(F.sum(c).over(w), F.lit(0)) for n, c in sums.items()})
         spec = Window.partitionBy(*self.keys, _RANGE).orderBy(*self.order)
         spec = spec.rowsBetween(Window.unboundedPreceding, 0)
-        base = self.assigned().drop(_START)
+        base = self.assigned().drop(_START, _TOTAL)
         per_range = base.groupBy(*self.keys, _RANGE).agg(
             *[F.coalesce(F.sum(c), F.lit(0)).alias(f"__carry_{n}") for n, c in sums.items()]
         )
@@ -299,7 +319,7 @@ class Ordered:
             w = Window.partitionBy(*self.keys).orderBy(*self.order).rowsBetween(lo, hi)
             return self.df.withColumns({n: pick(c, ignorenulls=True).over(w) for n, c in values.items()})
         spec = Window.partitionBy(*self.keys, _RANGE).orderBy(*self.order).rowsBetween(lo, hi)
-        base = self.assigned().drop(_START)
+        base = self.assigned().drop(_START, _TOTAL)
         edge = F.min_by if ahead else F.max_by
         here = F.struct(*self.order)
         per_range = base.groupBy(*self.keys, _RANGE).agg(

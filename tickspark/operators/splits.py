@@ -16,14 +16,13 @@ TRAIN, VAL = 0.70, 0.15
 EMBARGO = 60
 
 
-def positions(df: DataFrame, by: Sequence[str], order: Sequence[str], *, plain: bool = False) -> DataFrame:
-    """0-based position ``__i`` in the series and its length ``__n``."""
-    rows = Ordered(df, by, order, plain=plain)
-    out = rows.row_number("__i").withColumn("__i", F.col("__i") - 1)
-    sizes = rows.df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
-    if not by:
-        return out.withColumn("__n", sizes.scalar())
-    return out.join(sizes, list(by))
+def positions(
+    df: DataFrame, by: Sequence[str], order: Sequence[str], *, plain: bool = False, **whole: Column
+) -> DataFrame:
+    """0-based position ``__i`` in the series, its length ``__n`` and aggregates over
+    the whole series."""
+    out = Ordered(df, by, order, plain=plain).positions("__at", "__n", **whole)
+    return out.withColumn("__i", F.col("__at") - 1).drop("__at")
 
 
 def _share(n: Column, fraction: float) -> Column:
@@ -68,27 +67,23 @@ def split_segments(
 ) -> DataFrame:
     """Ratio split of every segment; val and test keep rows more than ``embargo_s``
     seconds after the last row of the parts before them."""
-    keys = [*by, segment]
-    out = positions(df, keys, [ts])
-    i, n = F.col("__i"), F.col("__n")
-    end = _share(n, train)
-    part = F.when(i < end, "train").when(i < end + _share(n, val), "val").otherwise("test")
-    out = out.withColumn("split", part)
     gap = round(embargo_s * 1_000_000)
-    at = micros(ts)
-    last = out.groupBy(*keys).agg(
-        F.max(F.when(F.col("split") == "train", at)).alias("__train"),
-        F.max(F.when(F.col("split") == "val", at)).alias("__val"),
-    )
-    # The last validation row survives its own embargo or none does.
-    val_kept = F.when(
-        F.col("__train").isNull() | (F.col("__val") > F.col("__train") + gap), F.col("__val")
-    )
-    last = last.withColumn("__val", val_kept)
-    out = out.join(last, keys)
-    before_val = F.col("__train")
-    before_test = F.coalesce(F.col("__val"), F.col("__train"))
+    at, n = micros(ts), F.col("__n")
+
+    def part(i: Column) -> Column:
+        end = _share(n, train)
+        return F.when(i < end, "train").when(i < end + _share(n, val), "val").otherwise("test")
+
+    def last(split: str) -> Column:
+        return F.max(F.when(part(F.col("__at") - 1) == split, at))
+
+    out = positions(df, [*by, segment], [ts], __train=last("train"), __val=last("val"))
+    out = out.withColumn("split", part(F.col("__i")))
     if gap:
+        before_val = F.col("__train")
+        # The last validation row survives its own embargo or none does.
+        val_kept = F.when(before_val.isNull() | (F.col("__val") > before_val + gap), F.col("__val"))
+        before_test = F.coalesce(val_kept, before_val)
         keep = (
             F.when(F.col("split") == "val", before_val.isNull() | (at > before_val + gap))
             .when(F.col("split") == "test", before_test.isNull() | (at > before_test + gap))

@@ -105,6 +105,8 @@ def process_arrivals(
     every file; without it state runs over the files of one batch."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        # Read the files once for the features and the results.
+        batch.persist()
         ticks, outcome = parse_arrivals(batch)
         by = ["source", "symbol"] if per_file else ["symbol"]
         made = tick_features(ticks, by=by, order=["timestamp"], plain=True)
@@ -113,6 +115,7 @@ def process_arrivals(
             f"{features}/batch={batch_id}"
         )
         outcome.write.mode("overwrite").parquet(f"{results}/batch={batch_id}")
+        batch.unpersist()
 
     writer = arrival_stream(spark, source).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
