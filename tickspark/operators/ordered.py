@@ -9,8 +9,10 @@ contiguous *ranges* of their sort order:
 1. count rows per key (pre-aggregated before the shuffle);
 2. for keys above the limit only, sample sort keys as cell boundaries and count
    every cell exactly. The sample decides balance, never results;
-3. give each row its range through a broadcast of the boundaries, whose number is
-   limited by ``MAX_CELLS`` whatever the table size.
+3. give each row its range by binary search of the boundaries, whose number is
+   limited by ``MAX_CELLS`` whatever the table size. The search is vectorised over
+   Arrow batches of the sort columns; a join that carries the boundaries of a key as
+   an array would copy that array into every row.
 
 Row frames copy the cells that hold the neighbouring rows into the next range
 (the exact counts say which), so one shuffle by (key, range) is enough. Unbounded
@@ -24,6 +26,8 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from math import ceil
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -32,8 +36,8 @@ from tickspark.session import chunk_rows, stage
 CELLS_PER_RANGE = 8
 MAX_CELLS = 1 << 18
 
-_RANGE, _CELL, _OWN, _SLOT = "__range", "__cell", "__own", "__slot"
-_BOUNDS, _OF, _COPIES, _START, _TOTAL = "__bounds", "__range_of", "__copies", "__start", "__total"
+_RANGE, _CELL, _OWN, _KEY = "__range", "__cell", "__own", "__key"
+_COPIES, _PLACE, _START, _TOTAL = "__copies", "__place", "__start", "__total"
 
 
 @dataclass(frozen=True)
@@ -111,7 +115,6 @@ class Ordered:
         self.spark = df.sparkSession
         self.df, self.keys, self.order = df, list(keys), list(order)
         self.cells: list[_Cells] = []
-        self._bounds: DataFrame | None = None
         wanted = limit or chunk_rows(self.spark)
         if at_most is not None and self._sizes(at_most)[1] <= wanted:
             return
@@ -153,60 +156,54 @@ class Ordered:
         return joined.drop(*[f"__k_{k}" for k in self.keys])
 
     def _cut(self, hot: DataFrame) -> None:
-        narrow = self.df.select(*self.keys, F.struct(*self.order).alias(_SLOT))
         fraction = min(1.0, CELLS_PER_RANGE / self.limit)
-        sampled = narrow.sample(fraction=fraction, seed=7)
+        sampled = self.df.select(*self.keys, *self.order).sample(fraction=fraction, seed=7)
         if self.keys:
+            # Every oversized key fills at least one range, so there are few of them.
             side = self._as_side(hot.select(*self.keys))
             sampled = sampled.join(F.broadcast(side), self._same_key(sampled, side), "left_semi")
         elif hot.isEmpty():
             return
-        # One row per oversized key; all arrays together hold about MAX_CELLS values.
-        bounds = sampled.groupBy(*self.keys).agg(F.array_sort(F.collect_set(_SLOT)).alias(_BOUNDS))
-        self._bounds = stage(bounds)
-        sizes = {
-            tuple(r[k] for k in self.keys): r["c"]
-            for r in self._bounds.select(*self.keys, F.size(_BOUNDS).alias("c")).collect()
-        }
-        self._search_steps = max(sizes.values(), default=0).bit_length()
+        # About MAX_CELLS boundaries at most, over all keys.
+        bounds = sampled.distinct().orderBy(*self.keys, *self.order).toArrow()
+        keys = list(zip(*[bounds.column(k).to_pylist() for k in self.keys])) or [()] * bounds.num_rows
+        firsts = [i for i, k in enumerate(keys) if i == 0 or k != keys[i - 1]]
+        if not firsts:
+            return
+        self._edges = [*firsts, bounds.num_rows]
+        self._columns = [_sortable(bounds.column(c).combine_chunks()) for c in self.order]
+        if self.keys:
+            found = bounds.select(self.keys).take(firsts)
+            found = found.append_column(_KEY, [list(range(len(firsts)))])
+            self._key_ids = self.spark.createDataFrame(found).withColumn(_KEY, F.col(_KEY).cast("int"))
         counted = (
             self._with_cell(self.df.select(*self.keys, *self.order))
-            .where(F.col(_CELL).isNotNull())
-            .groupBy(*self.keys, _CELL)
+            .where(F.col(_KEY).isNotNull())
+            .groupBy(_KEY, _CELL)
             .agg(F.count(F.lit(1)).alias("n"))
         )
-        counts = {key: [0] * (c + 1) for key, c in sizes.items()}
+        counts = [[0] * (b - a + 1) for a, b in zip(self._edges, self._edges[1:])]
         for row in counted.collect():
-            counts[tuple(row[k] for k in self.keys)][row[_CELL]] = row["n"]
-        self.cells = [_Cells(key, c, self.limit) for key, c in counts.items()]
+            counts[row[_KEY]][row[_CELL]] = row["n"]
+        self.cells = [_Cells(keys[at], c, self.limit) for at, c in zip(firsts, counts)]
+
+    def _with_key(self, df: DataFrame) -> DataFrame:
+        """Number of the oversized key, NULL for a small one."""
+        if not self.keys:
+            return df.withColumn(_KEY, F.lit(0))
+        return self._attach(df, self._key_ids)
 
     def _with_cell(self, df: DataFrame) -> DataFrame:
-        """Cell number by binary search of the boundaries; NULL for small keys."""
-        steps = F.array(*[F.lit(1 << i) for i in range(self._search_steps, -1, -1)])
-        here = F.struct(*self.order)
-        cell = F.aggregate(
-            steps,
-            F.lit(0),
-            lambda at, step: F.when(
-                F.get(F.col(_BOUNDS), at + step - 1) <= here, at + step
-            ).otherwise(at),
-        )
-        out = self._attach(df, self._bounds)
-        return out.withColumn(_CELL, F.when(F.col(_BOUNDS).isNotNull(), cell)).drop(_BOUNDS)
+        """Cell number in the key, NULL for small keys."""
+        cell = F.arrow_udf(_search(self._edges, self._columns), "int")
+        return self._with_key(df).withColumn(_CELL, cell(F.col(_KEY), *[F.col(c) for c in self.order]))
 
-    def _layout(self, back: int = 0, forward: int = 0) -> DataFrame:
-        """Per oversized key: range, copies and first row number of every cell."""
-        key_type = self.df.select(*self.keys).schema
-        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in key_type)
-        tail = f"{_OF} array<int>, {_COPIES} array<array<int>>, {_START} array<bigint>, {_TOTAL} bigint"
-        rows = []
-        for c in self.cells:
-            first: dict[int, int] = {}
-            for start, rng in zip(c.starts, c.range_of):
-                first.setdefault(rng, start)
-            starts = [first[r] for r in sorted(first)]
-            rows.append((*c.key, c.range_of, c.copies(back, forward), starts, sum(c.counts)))
-        return self.spark.createDataFrame(rows, f"{fields}, {tail}" if fields else tail)
+    def _looked_up(self, df: DataFrame, name: str, table, kind: str) -> DataFrame:
+        """Add the entry of ``table`` for the cell of each row. The table lists all
+        cells of all keys and ends with the entry of small keys."""
+        find = _search(self._edges, self._columns, table)
+        value = F.arrow_udf(find, kind)(F.col(_KEY), *[F.col(c) for c in self.order])
+        return self._with_key(df).withColumn(name, value).drop(_KEY)
 
     def ranges(self) -> DataFrame:
         """(keys, range) of every oversized key, at most MAX_CELLS rows."""
@@ -224,18 +221,26 @@ class Ordered:
     def assigned(self) -> DataFrame:
         """The frame with its range, the rows before that range and, for oversized
         keys, the rows of the key. Small keys are range 0."""
-        out = self._attach(self._with_cell(self.df), self._layout())
-        out = out.withColumn(_RANGE, F.coalesce(F.get(_OF, F.col(_CELL)), F.lit(0)))
-        out = out.withColumn(_START, F.coalesce(F.get(_START, F.col(_RANGE)), F.lit(0).cast("bigint")))
-        return out.drop(_OF, _COPIES, _CELL)
+        place = []
+        for c in self.cells:
+            first: dict[int, int] = {}
+            for start, rng in zip(c.starts, c.range_of):
+                first.setdefault(rng, start)
+            total = sum(c.counts)
+            place += [{"r": r, "s": first[r], "t": total} for r in c.range_of]
+        place.append({"r": 0, "s": 0, "t": None})
+        table = pa.array(place, pa.struct({"r": pa.int32(), "s": pa.int64(), "t": pa.int64()}))
+        out = self._looked_up(self.df, _PLACE, table, "struct<r: int, s: bigint, t: bigint>")
+        at = F.col(_PLACE)
+        return out.withColumns({_RANGE: at["r"], _START: at["s"], _TOTAL: at["t"]}).drop(_PLACE)
 
     def _with_copies(self, back: int, forward: int) -> DataFrame:
-        out = self._attach(self._with_cell(self.df), self._layout(back, forward))
-        own = F.coalesce(F.get(_OF, F.col(_CELL)), F.lit(0))
-        copies = F.coalesce(F.get(_COPIES, F.col(_CELL)), F.array(F.lit(0)))
-        out = out.withColumn(_OF, own).withColumn(_RANGE, F.explode(copies))
-        out = out.withColumn(_OWN, F.col(_RANGE) == F.col(_OF))
-        return out.drop(_OF, _COPIES, _START, _TOTAL, _CELL)
+        copies = [ranges for c in self.cells for ranges in c.copies(back, forward)]
+        table = pa.array([*copies, [0]], pa.list_(pa.int32()))
+        out = self._looked_up(self.df, _COPIES, table, "array<int>")
+        # The first entry is the range that owns the row.
+        out = out.withColumn(_OWN, F.get(_COPIES, F.lit(0))).withColumn(_RANGE, F.explode(_COPIES))
+        return out.withColumn(_OWN, F.col(_RANGE) == F.col(_OWN)).drop(_COPIES)
 
     # -- operators --------------------------------------------------------------
 
@@ -356,3 +361,62 @@ class Ordered:
         cond = self._same_key(left, right) & (left[_RANGE] == right["__k_range"])
         # Limited by MAX_CELLS rows: one per range.
         return left.join(F.broadcast(right), cond, "left").drop("__k_range", *[f"__k_{k}" for k in self.keys])
+
+
+def _make_sortable() -> Callable:
+    # Made inside a function so that it travels to the workers by value.
+    def sortable(column):
+        """Validity and values that compare like Spark's ascending order: NULL first,
+        NaN last, -0.0 equal to 0.0."""
+        valid = column.is_valid().to_numpy(zero_copy_only=False)
+        kind = column.type
+        if pa.types.is_floating(kind):
+            x = column.fill_null(0).to_numpy(zero_copy_only=False).astype("float64") + 0.0
+            x[np.isnan(x)] = np.nan
+            bits = x.view("int64")
+            return valid, bits ^ ((bits >> 63) & np.int64(0x7FFFFFFFFFFFFFFF))
+        if pa.types.is_date32(kind):
+            column, kind = column.cast(pa.int32()), pa.int32()
+        if pa.types.is_integer(kind) or pa.types.is_timestamp(kind) or pa.types.is_boolean(kind):
+            return valid, column.cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)
+        if pa.types.is_string(kind) or pa.types.is_large_string(kind) or pa.types.is_binary(kind):
+            empty = b"" if pa.types.is_binary(kind) else ""
+            return valid, np.array(column.fill_null(empty).to_pylist(), dtype=object)
+        raise TypeError(f"cannot order by {kind}")
+
+    return sortable
+
+
+_sortable = _make_sortable()
+
+
+def _search(edges: list[int], columns: list[tuple[np.ndarray, np.ndarray]], table: pa.Array | None = None):
+    """Arrow function (key number, sort columns) -> number of boundaries of the key at
+    or below the row, or the table entry of that cell. It carries its helpers along,
+    so that workers do not import this package."""
+    first, last = np.array(edges[:-1]), np.array(edges[1:])
+    sortable = _sortable
+
+    def find(key, *order):
+        known = key.is_valid().to_numpy(zero_copy_only=False)
+        number = key.fill_null(0).to_numpy(zero_copy_only=False)
+        rows = [sortable(c) for c in order]
+        low, high = first[number].copy(), last[number].copy()
+        while (open_ := low < high).any():
+            middle = np.minimum((low + high) // 2, len(columns[0][0]) - 1)
+            below = np.ones(len(low), dtype=bool)
+            for (b_valid, b), (r_valid, r) in zip(reversed(columns), reversed(rows)):
+                bv, x = b_valid[middle], b[middle]
+                same = bv == r_valid
+                less = np.where(same, x < r, bv < r_valid)
+                below = less.astype(bool) | (same & (x == r) & below)
+            low = np.where(open_ & below, middle + 1, low)
+            high = np.where(open_ & ~below, middle, high)
+        cell = low - first[number]
+        if table is None:
+            return pa.array(cell.astype("int32"), mask=~known)
+        # Each key has one more cell than boundaries.
+        entry = np.where(known, low + number, len(table) - 1)
+        return table.take(pa.array(entry))
+
+    return find
