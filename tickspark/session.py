@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -35,20 +37,27 @@ def chunk_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(CHUNK_ROWS, str(DEFAULT_CHUNK_ROWS)))
 
 
+_LOCAL: dict[str, str] = {}
+_STAGED: dict[str, list[str]] = {}
+
+
 def staging_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names for intermediate tables.
 
-    Where none is set, a local session gets a temporary folder; a cluster has to
-    name one, since a machine-local folder would not survive a lost executor.
+    Where none is set, a local session gets a temporary folder of its own, which goes when the
+    program ends; a cluster has to name one, since a machine-local folder would not survive a
+    lost executor. The setting itself is fixed when a session starts and is only read here.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a shared folder")
-    folder = tempfile.mkdtemp(prefix="tickspark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="tickspark-")
+        atexit.register(shutil.rmtree, _LOCAL[app], ignore_errors=True)
+    return _LOCAL[app]
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -60,4 +69,16 @@ def stage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{staging_dir(spark).rstrip('/')}/tickspark-stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Remove the staged tables of this session, once nothing derived from them is to be read
+    again. Returns how many there were."""
+    paths = _STAGED.pop(spark.sparkContext.applicationId, [])
+    jvm = spark.sparkContext._jvm
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return len(paths)
