@@ -26,6 +26,8 @@ MOST_POSITIONS = 1 << 28
 LEAST_POSITIONS = 1 << 16
 # The filter is built in chunks, each of which is one row of a grouped step.
 CHUNK = 1 << 15
+# Parts in which the rows of one repeated text are handled.
+SALTS = 64
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -128,9 +130,12 @@ def exact_groups(df: DataFrame, text: str = "text", key: str = "doc_id") -> Data
         "key", F.col("key").alias("keep"), F.lit(1).cast("long").alias("n"), F.lit(True).alias("stays"), "hash"
     )
     doubtful = split.filter("again")
-    groups = doubtful.groupBy("hash").agg(F.max(F.struct("key", "row")).alias("top"), F.count("*").alias("n"))
-    # A hot text's rows all meet one group row here: adaptive execution splits that side.
-    found = doubtful.join(groups, "hash").select(
+    # A hot text's rows are summed up and told their group in parts, by a salt.
+    doubtful = doubtful.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int"))
+    parts = doubtful.groupBy("hash", "salt").agg(F.max(F.struct("key", "row")).alias("top"), F.count("*").alias("n"))
+    groups = parts.groupBy("hash").agg(F.max("top").alias("top"), F.sum("n").alias("n"))
+    groups = parts.select("hash", "salt").join(groups, "hash")
+    found = doubtful.join(groups, ["hash", "salt"]).select(
         "key", F.col("top.key").alias("keep"), "n", (F.col("row") == F.col("top.row")).alias("stays"), "hash"
     )
     return alone.unionByName(found).select(
