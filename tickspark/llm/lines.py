@@ -57,7 +57,8 @@ def drop_lines(
     named = rows.select(F.coalesce("site", F.lit("\x00none")).alias("site"), "id", "body")
     mark = F.struct("id", F.xxhash64("body").alias("h"))
     lines = named.select(mark.alias("doc"), "site", F.posexplode(F.split("body", "\n")).alias("pos", "line"))
-    lines = lines.select("doc", "site", "pos", line_key(F.col("line")).alias("key")).filter("key IS NOT NULL")
+    # Split and hashed once; what follows reads these narrow rows instead of the texts.
+    lines = stage(lines.select("doc", "site", "pos", line_key(F.col("line")).alias("key")).filter("key IS NOT NULL"))
     common = stage(widespread(lines.select("key", "site"), sites))
     salt = F.pmod(F.xxhash64("doc", "pos"), F.lit(SALTS)).cast("int")
     salted = common.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
