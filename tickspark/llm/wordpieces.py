@@ -23,10 +23,11 @@ from tickspark.llm.arrays import slices
 from tickspark.llm.lattice import Pieces
 
 BLANK = "\u2581"
-# Words whose ids a task remembers; beyond it the memory is emptied and filled anew.
-REMEMBERED = 500_000
+# Words whose ids, and pairs of pieces whose compatibility, a task remembers; beyond it the
+# memory is emptied and filled anew.
+REMEMBERED = 250_000
 # Characters of new words that are sorted at a time.
-SORTED = 1 << 21
+SORTED = 1 << 18
 
 
 class Encoder:
@@ -80,6 +81,8 @@ class Encoder:
         code = (left + 1) * (self.size + 1) + right
         unique, where = np.unique(code, return_inverse=True)
         out = np.empty(len(unique), dtype=bool)
+        if len(self.pairs) > REMEMBERED:
+            self.pairs.clear()
         for i, c in enumerate(unique.tolist()):
             known = self.pairs.get(c)
             if known is None:
@@ -158,9 +161,17 @@ def encoder(path: str) -> Encoder:
 
 @lru_cache(maxsize=2)
 def _piece_bytes(path: str) -> list[bytes]:
-    e = encoder(path)
-    back = {i: bytes([b]) for b, i in e.bytes.items()}
-    return [back.get(i) or e.text[i].encode("utf-8") for i in range(e.size)]
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    out = []
+    for i in range(model.vocab_size()):
+        piece = model.id_to_piece(i)
+        if model.is_byte(i):
+            out.append(bytes([int(piece[1:-1], 16)]))
+        else:
+            out.append(b"" if model.is_control(i) or model.is_unknown(i) else piece.encode("utf-8"))
+    return out
 
 
 def encode(df: DataFrame, path: str, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -175,7 +186,7 @@ def encode(df: DataFrame, path: str, text: str = "text", key: str = "doc_id") ->
     def run(batches):
         e = encoder(path)
         for whole in batches:
-            for batch in slices(whole, 1, 16 << 20):
+            for batch in slices(whole, 1):
                 made = e.encode(batch.column(1).to_pylist())
                 ends = np.concatenate(([0], np.cumsum([len(m) // 4 for m in made]))).astype(np.int32)
                 flat = pa.array(np.frombuffer(b"".join(made), dtype="<i4"))
@@ -195,7 +206,8 @@ def encode(df: DataFrame, path: str, text: str = "text", key: str = "doc_id") ->
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """Add the text of a column of ids. Null or no ids give the empty text; ids outside the
+    """Add the text of a column of ids: pieces one after the other, bytes joined, without the
+    first blank. Null or no ids give the empty text, control ids nothing; ids outside the
     vocabulary are an error."""
 
     @F.pandas_udf("string")
