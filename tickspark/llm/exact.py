@@ -157,8 +157,8 @@ def drop_exact(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
     split = maybe_repeated(hashed, "__hash", bits, "__again")
     alone = split.filter(~F.col("__again")).drop("__hash", "__again")
     doubtful = maybe_repeated(hashes, "hash", bits, "again").filter("again")
-    groups = doubtful.groupBy("hash").agg(F.max("key").alias("__keep"))
+    groups = doubtful.groupBy(F.col("hash").alias("__group")).agg(F.max("key").alias("__keep"))
     again = split.filter("__again")
-    same = (F.col("__hash") == F.col("hash")) & F.col(key).eqNullSafe(F.col("__keep"))
+    same = (F.col("__hash") == F.col("__group")) & F.col(key).eqNullSafe(F.col("__keep"))
     stays = again.join(groups, same, "left_semi").dropDuplicates(["__hash"])
     return alone.unionByName(stays.drop("__hash", "__again"))

@@ -8,16 +8,16 @@ training re-estimates the pieces from their expected counts over all segmentatio
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tickspark.llm.arrays import slices
 from tickspark.llm.lattice import Edges, Pieces
 from tickspark.session import stage
 
@@ -30,8 +30,8 @@ SMOOTHING = 0.01
 # Longer runs of letters are cut into runs of so many, all of which count.
 RUN = 32
 # Words whose scores a task remembers; beyond it the memory is emptied and filled anew.
-REMEMBERED = 500_000
-SCORED = 1 << 20
+REMEMBERED = 250_000
+SCORED = 1 << 18
 UNDETERMINED = "und"
 
 LETTERS = re.compile(rf"[^\W\d_]{{1,{RUN}}}")
@@ -219,14 +219,21 @@ def identify(model: Model, df: DataFrame, text: str = "text", out: str = "langua
     used, whole; repeated rows are alike, an empty table gives no rows."""
     # The vocabulary times the languages: its size does not depend on the table.
     shared = df.sparkSession.sparkContext.broadcast(model)
+    at = df.columns.index(text)
+    found = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*df.schema.fields, T.StructField(out, found)])
 
-    @F.pandas_udf("lang_pred string, score double")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches):
         score = scorer(shared.value)
-        for texts in batches:
-            yield pd.DataFrame(score(texts.tolist()), columns=["lang_pred", "score"])
-
-    return df.withColumn(out, run(F.col(text).cast("string")))
+        for whole in batches:
+            for batch in slices(whole, at):
+                found = score(batch.column(at).to_pylist())
+                names = pa.array([f[0] for f in found], pa.string())
+                scores = pa.array([f[1] for f in found], pa.float64())
+                both = pa.StructArray.from_arrays([names, scores], names=["lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, both], names=[*batch.schema.names, out])
+
+    return df.mapInArrow(run, schema)
 
 
 def held_out(key: Column) -> Column:

@@ -17,7 +17,7 @@ from tickspark.session import stage
 
 CAPACITY = 4096
 # Words whose ids a task remembers; beyond it the memory is emptied and filled anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 
 
 class WordIds:
@@ -63,6 +63,10 @@ class WordIds:
                 self.learn(set(words))
                 yield b"".join(map(self.known.__getitem__, words))
 
+    def forget(self) -> None:
+        self.known.clear()
+        self.stretches.clear()
+
     def learn(self, words: set[str]) -> None:
         for memory in (self.known, self.stretches):
             if len(memory) + len(words) > REMEMBERED:
@@ -99,6 +103,7 @@ def pieces(df: DataFrame, path: str, capacity: int, end: int, key: str, text: st
     def cut(batches):
         encode = word_ids(path)
         tail = np.array([end], dtype="<u4").tobytes()
+        encode.forget()  # a worker outlives its tasks
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1)
             rows: list[tuple] = []
@@ -111,6 +116,7 @@ def pieces(df: DataFrame, path: str, capacity: int, end: int, key: str, text: st
             columns = list(zip(*rows)) or [()] * 5
             names = ["key", "start", "length", "crc", "total"]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+        encode.forget()
 
     narrow = df.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     return narrow.mapInArrow(cut, "key long, start long, length long, crc long, total long")
