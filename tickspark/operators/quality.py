@@ -148,10 +148,12 @@ def reindex_fill(
 def drop_short_segments(
     df: DataFrame, min_len: int, *, by: Sequence[str] = ("symbol",), segment: str = "segment_id"
 ) -> DataFrame:
-    """Keep segments of at least ``min_len`` rows."""
+    """Keep segments of at least ``min_len`` rows; a NULL key is a series like any other."""
     keys = [*by, segment]
-    long = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= min_len)
-    return df.join(long.select(*keys), keys, "left_semi")
+    own = [F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]
+    long = df.groupBy(*own).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= min_len)
+    same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    return df.join(long, same, "left_semi")
 
 
 def drop_null_rows(df: DataFrame, columns: Sequence[str], *, finite: bool = False) -> DataFrame:

@@ -81,7 +81,8 @@ def _from_cells(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -
                 continue
             at = p * (n - 1)
             lo, hi = at_position[name, floor(at)], at_position[name, ceil(at)]
-            picked.append(lo + (hi - lo) * (at - floor(at)))
+            # Equal neighbours and exact positions need no interpolation, which infinities spoil.
+            picked.append(lo if lo == hi or at == floor(at) else lo + (hi - lo) * (at - floor(at)))
         out[name] = picked
     return out
 

@@ -228,10 +228,11 @@ def forward_fill(
 
 
 def cumulative_return(bars: DataFrame, *, by: Sequence[str] = ("symbol",), ts: str = "ts") -> DataFrame:
-    """Return of each close against the first close of its series."""
-    first = bars.groupBy(*by).agg(F.min_by("close", ts).alias("__first"))
-    out = bars.join(first, list(by))
-    return out.withColumn("cum_return", div("close", "__first") - 1).drop("__first")
+    """Return of each close against the first close of its series, a NULL key included."""
+    own = [F.col(k).alias(f"__k{i}") for i, k in enumerate(by)]
+    first = bars.groupBy(*own).agg(F.min_by("close", ts).alias("__first"))
+    out = bars.join(first, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(by)])
+    return out.withColumn("cum_return", div("close", "__first") - 1).select(*bars.columns, "cum_return")
 
 
 def engineered(

@@ -197,8 +197,10 @@ def read_book(
     time_col: str = "ts_ms",
 ) -> DataFrame:
     """``.store`` files of a configured layout; rows with any NULL are dropped and
-    ``ts`` is the UTC time. ``skip_rows`` leading lines of every file are left out:
-    the first as a header, more where they do not parse as numbers."""
+    ``ts`` is the UTC time. ``skip_rows``: 1 leaves out the first line of every file, which
+    ``header`` does as well; more lines cannot be told apart from data and are refused."""
+    if skip_rows + header > 1:
+        raise ValueError("at most one leading line per file can be left out")
     reader = spark.read.schema(schema).option("sep", delimiter).option("header", header or skip_rows > 0)
     return reader.csv(path).dropna().withColumn("ts", F.timestamp_millis(time_col))
 
