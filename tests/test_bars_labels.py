@@ -132,6 +132,13 @@ def test_emptied_validation_still_keeps_the_embargo(spark):
     assert test and min(test) > last_train + dt.timedelta(seconds=4)
 
 
+def test_segment_split_breaks_ties(spark):
+    rows = [("X", 1, at(0), i) for i in reversed(range(20))]
+    df = spark.createDataFrame(rows, "symbol string, segment_id int, ts timestamp_ntz, seq int")
+    out = splits.split_segments(df, embargo_s=0, order=["seq"]).collect()
+    assert [r["split"] for r in sorted(out, key=lambda r: r["seq"])] == ["train"] * 14 + ["val"] * 3 + ["test"] * 3
+
+
 def test_time_split_keeps_at_least_one(spark):
     df = spark.range(3).select(F.col("id").alias("ts"))
     out = {r["ts"]: r["split"] for r in splits.split_time(df, 0.01).collect()}

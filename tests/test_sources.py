@@ -123,6 +123,21 @@ def test_log_files(spark, tmp_path):
     assert readers.read_fills(spark, str(tmp_path / "f"), ["Y"]).first()["price"] == 6.0
 
 
+def test_log_files_with_different_headers(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("timestamp,symbol,price,qty,side\n2024-01-01 00:00:00.000,X,5,1,BUY\n")
+    (tmp_path / "2.csv").write_text(
+        "\ufeffqty,extra,price,timestamp,symbol\n\n"
+        '2,"a,b",6,2024-01-01 00:00:01.000,Y\n3,c,7,2024-01-01 00:00:02.000,"Y"\n'
+    )
+    (tmp_path / "3.csv").write_text("symbol,price\n")
+    (tmp_path / "4.csv").write_text("")
+    for path in (str(tmp_path), [str(f) for f in sorted(tmp_path.iterdir())]):
+        out = readers.read_fills(spark, path).orderBy("timestamp").collect()
+        assert [(r["symbol"], r["price"], r["qty"], r["side"]) for r in out] == [
+            ("X", 5.0, 1.0, "BUY"), ("Y", 6.0, 2.0, None), ("Y", 7.0, 3.0, None),
+        ]
+
+
 def test_numeric_table(spark, tmp_path):
     good, bad = tmp_path / "good.csv", tmp_path / "bad.csv"
     good.write_text("ts_ms,a\n0,1.5\n1000,2\n")

@@ -146,6 +146,19 @@ def test_features_on_arrival(spark, tmp_path):
     assert spark.read.parquet(out).count() == 11
 
 
+def test_arrivals_of_equal_time_keep_their_order(spark, tmp_path):
+    src = tmp_path / "trades"
+    src.mkdir()
+    (src / "a.json").write_text(json.dumps([message(0, p) for p in ("10", "12", "9", "11")]))
+    out = str(tmp_path / "features")
+    streams.process_arrivals(spark, str(src), out, str(tmp_path / "r"), str(tmp_path / "ck")).awaitTermination()
+    made = spark.read.parquet(out)
+    assert "position" not in made.columns
+    steps = {r["price"]: r["return_1"] for r in made.collect()}
+    assert steps[10.0] is None
+    assert [steps[p] for p in (12.0, 9.0, 11.0)] == pytest.approx([2 / 10, -3 / 12, 2 / 9])
+
+
 def test_messages_read_back(spark, tmp_path):
     (tmp_path / "m.json").write_text(json.dumps([message(1)]))
     assert read_messages(spark, str(tmp_path)).first()["p"] == "10"

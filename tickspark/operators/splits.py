@@ -64,9 +64,11 @@ def split_segments(
     by: Sequence[str] = ("symbol",),
     segment: str = "segment_id",
     ts: str = "ts",
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """Ratio split of every segment; val and test keep rows more than ``embargo_s``
-    seconds after the last row of the parts before them."""
+    seconds after the last row of the parts before them. ``order``: columns that put rows of
+    equal time in order, without which either may come first."""
     gap = round(embargo_s * 1_000_000)
     at, n = micros(ts), F.col("__n")
 
@@ -77,7 +79,7 @@ def split_segments(
     def last(split: str) -> Column:
         return F.max(F.when(part(F.col("__at") - 1) == split, at))
 
-    out = positions(df, [*by, segment], [ts], __train=last("train"), __val=last("val"))
+    out = positions(df, [*by, segment], [ts, *order], __train=last("train"), __val=last("val"))
     out = out.withColumn("split", part(F.col("__i")))
     if gap:
         before_val = F.col("__train")

@@ -184,9 +184,12 @@ def book_dataset(
     embargo_s: float = EMBARGO,
     scaling: str = "standard",
     by: Sequence[str] = ("symbol",),
+    order: Sequence[str] = (),
 ) -> Dataset:
     """L1 book to validated, segmented, labelled, split and scaled rows. With a path
-    the data, validation report, names, sizes and scaler are written below it."""
+    the data, validation report, names, sizes and scaler are written below it. ``order``:
+    columns that put rows of equal time in order in labels, windows and the split; like ``by``
+    they are no features."""
     clean = quality.clean_book(book)
     parts = quality.add_segments(clean, expected, gap_policy, by=by)
     parts = quality.drop_short_segments(parts, min_segment, by=by)
@@ -196,14 +199,14 @@ def book_dataset(
         df = df.withColumn("r1", F.col("log_mid") - F.lag("log_mid").over(w))
         return with_book_rolling(with_book_labels(df, w, horizons, deadzone, fixed_bps), w, windows)
 
-    rows = Ordered(parts, by, ["ts"]).windows(
+    rows = Ordered(parts, by, ["ts", *order]).windows(
         add, back=max(windows) + 1, forward=max(horizons), within=["segment_id"]
     )
     rows = rows.withColumns(book_calendar())
     labels = [c for c in rows.columns if c.startswith("y_")]
-    features = numeric_columns(rows, [*labels, "ts_ms", "segment_id", *by])
+    features = numeric_columns(rows, [*labels, "ts_ms", "segment_id", *by, *order])
     usable = stage(rows.dropna(subset=[*features, *labels]))
-    split = split_segments(usable, train, val, embargo_s, by=by)
+    split = split_segments(usable, train, val, embargo_s, by=by, order=order)
     scaler = None
     if scaling != "none":
         split = stage(split)

@@ -239,22 +239,33 @@ def read_messages(spark: SparkSession, path: str | Sequence[str], schema: T.Stru
 
 
 def _log_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType) -> DataFrame:
-    """Headed CSV whose empty, ``null`` and ``NaN`` cells are NULL. Columns are found
-    by name, so files may order them differently or lack some."""
-    paths = [path] if isinstance(path, str) else list(path)
-    text = spark.read.option("header", True).option("pathGlobFilter", "*.csv")
-    frames = [text.csv(p) for p in paths]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
+    """Headed CSV whose empty, ``null`` and ``NaN`` cells are NULL. Columns are found by name
+    in each file's own header, so the files of a folder may order them differently, lack some
+    or have others besides."""
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(path if isinstance(path, str) else list(path))
+    lines = lines.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value"
+    ).where(F.trim("value") != "")
+    # Numbers ascend within a split of a file, and only the split at 0 holds the header.
+    numbered = lines.withColumn("n", F.monotonically_increasing_id()).where("at = 0")
+    headers = numbered.groupBy("file").agg(F.min_by("value", "n").alias("header"))
+    width = headers.agg(F.max(F.size(F.split("header", ",")))).first()[0] or 1
+    cells = ", ".join(f"_c{i} string" for i in range(width))
+
+    def parsed(line: Column) -> Column:
+        part = F.from_csv(line, cells)
+        return F.array(*(part[f"_c{i}"] for i in range(width)))
+
+    named = headers.select("file", "header", parsed(F.ltrim("header", F.lit("\ufeff"))).alias("names"))
+    # A line like the header is the header, or has no time and no number in it.
+    rows = lines.join(named, "file").where(F.col("value") != F.col("header"))
+    rows = rows.select("names", parsed(F.col("value")).alias("cells"))
     picks = []
     for f in schema:
-        if f.name not in out.columns:
-            picks.append(F.lit(None).cast(f.dataType).alias(f.name))
-            continue
-        cell = F.when(~F.col(f.name).isin("", "null", "NaN"), F.col(f.name))
+        cell = F.get("cells", F.array_position("names", f.name).cast("int") - 1)
+        cell = F.when(~cell.isin("", "null", "NaN"), cell)
         picks.append(cell.try_cast(f.dataType).alias(f.name))
-    return out.select(*picks)
+    return rows.select(*picks)
 
 
 def _timed(df: DataFrame, symbols: Iterable[str] | None, name: str) -> DataFrame:

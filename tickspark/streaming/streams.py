@@ -62,23 +62,24 @@ def arrival_stream(spark: SparkSession, path: str, *, max_files: int = 1000) ->
 
 
 def parse_arrivals(files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(ticks, results) of raw files. Ticks carry their ``source``; results say per
-    file ``success`` with a row count, ``skipped`` without rows, or ``error``."""
+    """(ticks, results) of raw files. Ticks carry their ``source`` and ``position`` in it, which
+    puts ticks of equal time in order; results say per file ``success`` with a row count, ``skipped`` without rows, or ``error``."""
     is_store = F.col("source").endswith(".store")
     # A malformed document gives one element without any value.
     element = schemas.MESSAGES.simpleString()
     rows = F.from_json("content", f"array<{element}>", {"mode": "PERMISSIVE"})
     json_rows = (
         files.where(~is_store)
-        .select("source", F.explode_outer(rows).alias("m"))
-        .select("source", "m.*")
+        .select("source", F.posexplode_outer(rows).alias("position", "m"))
+        .select("source", "position", "m.*")
         .withColumnRenamed("s", "symbol")
     )
     json_ticks = normalise_ticks(json_rows).select(
-        "source", "symbol", "timestamp", "price", "qty", "trade_direction", "timestamp_dt"
+        "source", "position", "symbol", "timestamp", "price", "qty", "trade_direction", "timestamp_dt"
     )
-    lines = files.where(is_store).select("source", F.explode(F.split("content", "\\r?\\n")).alias("value"))
-    store_rows = streamer_columns(lines, keep=["source"])
+    split = F.split("content", "\\r?\\n")
+    lines = files.where(is_store).select("source", F.posexplode(split).alias("position", "value"))
+    store_rows = streamer_columns(lines, keep=["source", "position"])
     store_ticks = normalise_ticks(store_rows).select(*json_ticks.columns)
     ticks = json_ticks.unionByName(store_ticks)
     good = ticks.where(F.col("timestamp").isNotNull() & F.col("price").isNotNull())
@@ -107,15 +108,18 @@ def process_arrivals(
     def handle(batch: DataFrame, batch_id: int) -> None:
         # Read the files once for the features and the results.
         batch.persist()
-        ticks, outcome = parse_arrivals(batch)
-        by = ["source", "symbol"] if per_file else ["symbol"]
-        made = tick_features(ticks, by=by, order=["timestamp"], plain=True)
-        # Overwriting the batch's own folder makes a repeated batch harmless.
-        dated(made, "timestamp_dt").write.mode("overwrite").partitionBy("symbol", "date", "hour").parquet(
-            f"{features}/batch={batch_id}"
-        )
-        outcome.write.mode("overwrite").parquet(f"{results}/batch={batch_id}")
-        batch.unpersist()
+        try:
+            ticks, outcome = parse_arrivals(batch)
+            by = ["source", "symbol"] if per_file else ["symbol"]
+            order = ["timestamp", "position"] if per_file else ["timestamp", "source", "position"]
+            made = tick_features(ticks, by=by, order=order, plain=True).drop("position")
+            # Overwriting the batch's own folder makes a repeated batch harmless.
+            dated(made, "timestamp_dt").write.mode("overwrite").partitionBy("symbol", "date", "hour").parquet(
+                f"{features}/batch={batch_id}"
+            )
+            outcome.write.mode("overwrite").parquet(f"{results}/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     writer = arrival_stream(spark, source).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
