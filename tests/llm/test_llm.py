@@ -264,6 +264,11 @@ def test_main_text():
     assert pages.main_text(framed) == "T\nA & b c d\nTwo"
     bare = "<div id=c><h2>Head</h2><p>" + "Long text, with signs. " * 9 + "</p><p>Short.</p></div><ul><li>a</li></ul><footer>f, g.</footer>"
     assert pages.main_text(bare).split("\n")[::2] == ["Head", "Short."]
+    apart = (
+        '<article><p>One <span class="ad">Buy</span>two.</p><p>Three <a class="share">x <a>y</a></a> four '
+        '<i class="social">open</p><p title=" hidden ">Five</p><div class="x" hidden>gone</div></article>'
+    )
+    assert pages.main_text(apart) == "One two.\nThree four\nFive"
 
 
 def test_pages_edges(spark):
@@ -286,6 +291,15 @@ def test_language(spark, docs, table):
     assert {r["found"].lang_pred for r in language.identify(empty, docs, out="found").collect()} == {"und"}
 
 
+def test_language_sample_counts_copies_once(spark):
+    rows = [("a", "lorem ipsum dolor")] * 300 + [("a", f"lorem ipsum{'x' * i}") for i in range(20)] + [("b", "sit amet")]
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(4)
+    once = language.fit(df.distinct(), model_path(PIECE_MODEL))
+    copied = language.fit(df, model_path(PIECE_MODEL))
+    assert copied.languages == once.languages == ["a", "b"]
+    assert np.array_equal(copied.chances, once.chances)
+
+
 def test_forward_sums_all_segmentations():
     pieces = language.Pieces({"a": 0, "b": 1, "ab": 2, "ba": 3, "aba": 4})
     chances = np.array([[0.3], [0.2], [0.25], [0.15], [0.1]])

@@ -57,6 +57,8 @@ TOKEN = re.compile(
 )
 NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
+HIDDEN = re.compile(r"\shidden(?=[\s>/=])", re.IGNORECASE)
 WORDS = re.compile(r"[a-z]+")
 SPACE = re.compile(r"\s+")
 SIGNS = re.compile(r"[.,;:!?…。，、¿¡]")
@@ -85,11 +87,10 @@ def _marks(name: str, tag: str) -> tuple[bool, bool]:
             elif key == "itemprop":
                 article |= value.lower() in ARTICLE_PROPS
             elif key in ("class", "id") and name not in ("html", "body"):
-                apart |= _named_apart(value, name in ARTICLE)
+                apart |= _named_apart(value, name in ARTICLE or name in INLINE)
             elif key == "aria-hidden":
                 apart |= value.lower() == "true"
-    elif re.search(r"\shidden[\s>/]", tag):
-        apart = True
+    apart |= HIDDEN.search(QUOTED.sub("", tag)) is not None
     return apart, article
 
 
@@ -98,6 +99,7 @@ def blocks(page: str) -> Iterator[tuple[str, str, bool, bool]]:
     stack: list[tuple[str, bool, bool]] = []  # open block elements: name, set apart, article
     parts: list[str] = []
     at = 0
+    muted, depth = "", 0  # inline element set apart whose text is passed over, and its nesting
 
     def end() -> Iterator[tuple[str, str, bool, bool]]:
         if parts:
@@ -116,9 +118,10 @@ def blocks(page: str) -> Iterator[tuple[str, str, bool, bool]]:
     while at < len(page):
         found = TOKEN.search(page, at)
         if not found:
-            parts.append(page[at:])
+            if not depth:
+                parts.append(page[at:])
             break
-        if found.start() > at:
+        if found.start() > at and not depth:
             parts.append(page[at : found.start()])
         tag, at = found.group(), found.end()
         named = NAME.match(tag)
@@ -131,7 +134,12 @@ def blocks(page: str) -> Iterator[tuple[str, str, bool, bool]]:
                 at = len(page) if not close else close.start()
             continue
         if name in INLINE:
-            # Inline elements only matter where they are set apart.
+            # Inline elements only matter where they are set apart: up to their end, or that
+            # of the block.
+            if depth:
+                depth += (-1 if tag[1] == "/" else 1) * (name == muted)
+            elif tag[1] != "/" and name not in VOID and not tag.endswith("/>") and _marks(name, tag)[0]:
+                muted, depth = name, 1
             continue
         if name == "br":
             parts.append(" ")
@@ -139,6 +147,7 @@ def blocks(page: str) -> Iterator[tuple[str, str, bool, bool]]:
         if name in VOID and name != "hr":
             continue
         yield from end()
+        depth = 0
         if name in VOID:
             continue
         if tag[1] == "/":
