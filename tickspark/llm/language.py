@@ -21,9 +21,12 @@ from tickspark.llm.arrays import slices
 from tickspark.llm.lattice import Edges, Pieces
 from tickspark.session import stage
 
-# Documents per language that the model is fitted on: all of a rarer language, of a common one
-# about so many, chosen by a hash of their text.
+# Different texts per language that the model is fitted on: all of a rarer language, of a common
+# one about so many, chosen by a hash of the text. Copies of a text count once.
 SAMPLE = 1500
+# Tasks over which the chosen texts are dealt, and the values of the hash that chooses them.
+SAMPLE_TASKS = 32
+CHOICES = 1 << 40
 ROUNDS = 2
 # Added to every expected count, so that no piece of a language is impossible.
 SMOOTHING = 0.01
@@ -120,13 +123,15 @@ def fit(
 ) -> Model:
     """Fit from the rows that have a text and a language; others are left aside.
 
-    About ``sample`` documents per language are read, all of a rarer one. The driver gets the
+    About ``sample`` different texts per language count, all of a rarer one. The driver gets the
     vocabulary's expected counts per language, nothing that grows with the documents. Without
     any labelled document the model has no language and everything is undetermined.
     """
     rows = df.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") > 0))
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    rows = rows.withColumn("mark", F.xxhash64("text"))
+    distinct = rows.groupBy("lang").agg(F.approx_count_distinct("mark", 0.02).alias("n"))
+    sizes = {r["lang"]: r["n"] for r in distinct.collect()}
     languages = sorted(sizes)
     pieces = vocabulary(path)
     unknown = len(pieces.text)
@@ -134,8 +139,10 @@ def fit(
     if not languages:
         return Model(path, languages, chances)
     shares = F.create_map(*(F.lit(x) for name in languages for x in (name, min(1.0, sample / sizes[name]))))
-    chosen = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < shares[F.col("lang")] * 1_000_000
-    words = stage(counted_words(rows.filter(chosen), "text", "lang"))
+    chosen = rows.filter(F.pmod("mark", F.lit(CHOICES)) < shares[F.col("lang")] * CHOICES)
+    # Copies meet after a map-side step, so a text that fills the table is one row per task.
+    chosen = chosen.dropDuplicates(["lang", "mark"]).repartition(SAMPLE_TASKS, "mark")
+    words = stage(counted_words(chosen, "text", "lang"))
     column = {name: i for i, name in enumerate(languages)}
 
     for _ in range(rounds):
