@@ -101,6 +101,23 @@ def test_tick_state_runs_on(spark, feed, tmp_path):
                 assert g[c] == pytest.approx(w[c], abs=1e-9)
 
 
+def test_ticks_of_equal_time_follow_the_tie_column(spark, feed, tmp_path):
+    put, stream = feed
+    rows = [("X", T0, i, p, 1.0, True) for i, p in enumerate([10.0, 12.0, 0.0, 11.0, None, 9.0])]
+    put(rows[::2], "a")
+    put(rows[1::2], "b")
+    put(rows_for(5000, 1), "c")
+    put(rows_for(9000, 1), "d")
+    side = F.lit(1)
+    got = collect(streams.stream_tick_features(stream().withColumn("trade_direction", side), delay="1 minute", tie="trade_id"), tmp_path)
+    got = [r for r in got if r["at"] == 1_704_067_200_000_000]
+    batch = spark.createDataFrame(rows, SCHEMA).withColumn("trade_direction", side)
+    want = tick_features(batch, order=["ts", "trade_id"]).orderBy("trade_id").collect()
+    for c in ("price", "return_1", "return_lag_1", "price_lag_1", "price_std_5", "return_ma_5", "order_flow_10"):
+        seen = [None if r[c] is None or r[c] != r[c] else r[c] for r in got]
+        assert seen == [None if r[c] is None else pytest.approx(r[c]) for r in want], c
+
+
 def message(i, price="10"):
     return {"T": 1_704_067_200_000 + i * 1000, "s": "AAA", "p": price, "q": "2", "m": i % 2 == 0}
 

@@ -79,6 +79,18 @@ class Rolling:
         return F.when(F.count(name).over(frame) >= needed, agg(name).over(frame))
 
 
+def rolling_table(series: dict, wanted: dict[str, tuple[str, str, int, int]], min_periods: int | None = None):
+    """Statistics (statistic, series, rows, rows back) over one series held in memory: arrays of
+    doubles by name, NULL as a masked value, in order. For state that a stream keeps."""
+    import numpy as np
+    import pyarrow as pa
+
+    columns = {n: pa.array(np.ma.getdata(x), mask=np.ma.getmaskarray(x)) for n, x in series.items()}
+    columns[_POS] = pa.array(np.arange(len(next(iter(series.values())))))
+    batch = pa.RecordBatch.from_pydict(columns)
+    return pa.Table.from_batches(list(_kernel(list(series), list(series), wanted, min_periods)(iter([batch]))))
+
+
 def _kernel(
     columns: list[str], names: list[str], wanted: dict[str, tuple[str, str, int, int]], min_periods: int | None
 ) -> Callable[[Iterator], Iterator]:

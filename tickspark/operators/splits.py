@@ -122,8 +122,11 @@ def split_three(
 
 
 def _unit(keys: Sequence[str], seed: int) -> Column:
-    """A repeatable value in [0, 1) per key, the same under any partitioning."""
-    return F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1 << 40)) / float(1 << 40)
+    """A repeatable value in [0, 1) per key, the same under any partitioning and in any engine:
+    the first 13 hexadecimal digits of the md5 of seed and keys, joined by ``|``."""
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint") / float(1 << 52)
 
 
 def split_hash(df: DataFrame, keys: Sequence[str], val: float = 0.2, seed: int = 42) -> DataFrame:

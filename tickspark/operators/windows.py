@@ -183,17 +183,25 @@ def with_mean_std(df: DataFrame, spec: WindowSpec, columns: Sequence[str], windo
     return r.detach(r.attach(df).withColumns(made)) if made else df
 
 
+def tick_statistics() -> dict[str, tuple[str, str, int]]:
+    """Rolling features of live ticks: name -> (statistic, series, rows)."""
+    out = {}
+    for w in TICK_WINDOWS:
+        out[f"price_ma_{w}"] = ("avg", "price", w)
+        out[f"price_std_{w}"] = ("std", "price", w)
+        out[f"volume_sum_{w}"] = ("sum", "qty", w)
+        out[f"return_ma_{w}"] = ("avg", "return_1", w)
+    out.update({f"order_flow_{w}": ("sum", "flow", w) for w in FLOW_WINDOWS})
+    return out
+
+
 def with_tick_rolling(df: DataFrame, spec: WindowSpec) -> DataFrame:
     """Return, rolling and lag features of live ticks."""
     r = Rolling(spec, min_periods=1)
+    flow = F.col("trade_direction") * F.col("qty")
     made = {}
-    for w in TICK_WINDOWS:
-        made[f"price_ma_{w}"] = r.avg("price", w)
-        made[f"price_std_{w}"] = r.std("price", w)
-        made[f"volume_sum_{w}"] = r.sum("qty", w)
-        made[f"return_ma_{w}"] = r.avg("return_1", w)
-    for w in FLOW_WINDOWS:
-        made[f"order_flow_{w}"] = r.sum(F.col("trade_direction") * F.col("qty"), w)
+    for name, (stat, series, w) in tick_statistics().items():
+        made[name] = getattr(r, stat)(flow if series == "flow" else series, w)
     df = df.withColumn("return_1", div("price", F.lag("price").over(spec)) - 1)
     df = df.withColumns({f"{n}_lag_{k}": F.lag(c, k).over(spec) for k in TICK_LAGS for n, c in (("price", "price"), ("return", "return_1"))})
     return r.detach(r.attach(df).withColumns(made))

@@ -15,7 +15,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from tickspark import schemas
 from tickspark.functions.expr import interval_literal, normalise_ticks
 from tickspark.operators.bars import flow_aggregates, flow_derived
-from tickspark.operators.windows import FLOW_WINDOWS, TICK_LAGS, TICK_WINDOWS, tick_features
+from tickspark.operators.rolling import rolling_table
+from tickspark.operators.windows import FLOW_WINDOWS, TICK_LAGS, TICK_WINDOWS, tick_features, tick_statistics
 from tickspark.sources.readers import streamer_columns
 from tickspark.sources.sinks import dated, stream_messages
 
@@ -151,8 +152,8 @@ def stream_flow_bars(
 # -- tick features with state ------------------------------------------------------------------
 
 _HISTORY = max(*TICK_WINDOWS, *TICK_LAGS, *FLOW_WINDOWS) + 1
-_TICK = ("at", "price", "qty", "side")
-_STATE = ", ".join(f"{p}_{c} array<{t}>" for p in ("old", "new") for c, t in zip(_TICK, ("bigint", "double", "double", "double")))
+_TICK = {"at": "bigint", "tie": "bigint", "price": "double", "qty": "double", "side": "double"}
+_STATE = ", ".join(f"{part}_{c} array<{t}>" for part in ("old", "new") for c, t in _TICK.items())
 
 
 def tick_feature_schema() -> T.StructType:
@@ -166,45 +167,44 @@ def tick_feature_schema() -> T.StructType:
     return T.StructType(head + [T.StructField(n, T.DoubleType()) for n in names])
 
 
-def stream_tick_features(ticks: DataFrame, *, delay: str = "10 seconds", ts: str = "ts") -> DataFrame:
+def stream_tick_features(
+    ticks: DataFrame, *, delay: str = "10 seconds", ts: str = "ts", tie: str | None = None
+) -> DataFrame:
     """Rolling and lag tick features of a stream, with state that runs on across
     files and batches. Ticks wait until the watermark has passed them, so their
-    order is final; the state is the last few ticks and those still waiting."""
-    columns = tick_feature_schema().fieldNames()
-    keep = _HISTORY
+    order is final; the state is the last few ticks and those still waiting.
+
+    ``tie`` names the whole-number column that orders ticks of equal time, such as a trade id.
+    Without it they are taken by price and quantity, so that a repeated batch agrees. Ticks
+    without a time have no place in a series and are left out."""
 
     def update(key: tuple, frames: Iterator, state: GroupState) -> Iterator:
         import pandas as pd
 
-        names = list(_TICK)
-        if state.exists:
-            held = state.get
-            old = pd.DataFrame(dict(zip(names, map(list, held[:4]))))
-            new = pd.DataFrame(dict(zip(names, map(list, held[4:]))))
-        else:
-            old = pd.DataFrame({n: [] for n in names})
-            new = old
+        kinds = {n: "int64" if t == "bigint" else "float64" for n, t in _TICK.items()}
+        held = state.get if state.exists else [[]] * (2 * len(kinds))
+        old, new = (
+            pd.DataFrame({n: pd.Series(v, dtype=kinds[n]) for n, v in zip(kinds, part)})
+            for part in (held[: len(kinds)], held[len(kinds) :])
+        )
         if not state.hasTimedOut:
-            new = pd.concat([new, *[f[names] for f in frames]])
+            new = pd.concat([new, *[f[list(kinds)] for f in frames]]).astype(kinds)
         mark = state.getCurrentWatermarkMs() * 1000
-        ready = new[new["at"] <= mark].sort_values(["at", "price", "qty"], kind="stable")
+        ready = new[new["at"] <= mark].sort_values(["at", "tie", "price", "qty"], kind="stable")
         wait = new[new["at"] > mark]
-        rows = pd.concat([old, ready], ignore_index=True).astype({n: "float64" for n in names[1:]})
+        rows = pd.concat([old, ready], ignore_index=True)
         if len(ready):
-            out = rolling_ticks(rows).iloc[len(old) :]
-            out.insert(0, "symbol", key[0])
-            yield out[columns]
-        kept = rows.tail(keep)
-        held_now = [kept["at"].astype("int64"), kept["price"], kept["qty"], kept["side"]]
-        held_now += [wait["at"].astype("int64"), wait["price"], wait["qty"], wait["side"]]
-        state.update(tuple(s.tolist() for s in held_now))
+            yield tick_rows(key[0], rows, len(old))
+        kept = rows.tail(_HISTORY)
+        state.update(tuple(part[n].tolist() for part in (kept, wait) for n in kinds))
         if len(wait):
             state.setTimeoutTimestamp(int(max(wait["at"].min() // 1000 + 1, mark // 1000 + 1)))
 
-    rows = ticks.withWatermark(ts, delay).select(
+    rows = ticks.where(F.col(ts).isNotNull()).withWatermark(ts, delay).select(
         "symbol",
         ts,
         F.unix_micros(F.col(ts).cast("timestamp")).alias("at"),
+        F.coalesce(F.col(tie or ts).cast("bigint"), F.lit(0)).alias("tie"),
         "price",
         "qty",
         F.col("trade_direction").cast("double").alias("side"),
@@ -214,23 +214,23 @@ def stream_tick_features(ticks: DataFrame, *, delay: str = "10 seconds", ts: str
     )
 
 
-def rolling_ticks(rows):
-    """Features of ticks in order, as in ``windows.tick_rolling_columns``."""
-    price, qty = rows["price"], rows["qty"]
-    out = rows.copy()
-    ret = price / price.shift(1) - 1
-    out["return_1"] = ret
-    for w in TICK_WINDOWS:
-        out[f"price_ma_{w}"] = price.rolling(w, min_periods=1).mean()
-        out[f"price_std_{w}"] = price.rolling(w, min_periods=1).std()
-        out[f"volume_sum_{w}"] = qty.rolling(w, min_periods=1).sum()
-        out[f"return_ma_{w}"] = ret.rolling(w, min_periods=1).mean()
+def tick_rows(symbol, rows, known: int):
+    """Features of the ticks after the first ``known`` ones, by the kernel of the batch operator."""
+    import numpy as np
+
+    price, qty, side = (np.ma.masked_invalid(rows[n].to_numpy()) for n in ("price", "qty", "side"))
+    # numpy masks a quotient by zero, which the batch operator makes NULL.
+    change = np.ma.concatenate([np.ma.masked_all(1), price[1:] / price[:-1] - 1])
+    series = {"price": price, "qty": qty, "return_1": change, "flow": side * qty}
+    wanted = {name: (*what, 0) for name, what in tick_statistics().items()}
+    # A lag is the sum over the one row so far back.
     for k in TICK_LAGS:
-        out[f"price_lag_{k}"] = price.shift(k)
-        out[f"return_lag_{k}"] = ret.shift(k)
-    for w in FLOW_WINDOWS:
-        out[f"order_flow_{w}"] = (rows["side"] * qty).rolling(w, min_periods=1).sum()
-    return out
+        wanted[f"price_lag_{k}"] = ("sum", "price", 1, k)
+        wanted[f"return_lag_{k}"] = ("sum", "return_1", 1, k)
+    out = rolling_table(series, wanted, min_periods=1).to_pandas().drop(columns="flow").iloc[known:]
+    out.insert(0, "symbol", symbol)
+    out = out.assign(at=rows["at"].iloc[known:].to_numpy(), side=rows["side"].iloc[known:].to_numpy())
+    return out[tick_feature_schema().fieldNames()]
 
 
 # -- dedup and segments ---------------------------------------------------------------------------

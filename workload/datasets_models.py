@@ -184,21 +184,31 @@ def _training(v: Views, kind: str = "direction", scaling: str = "standard") -> d
 _T = "PARTITION BY symbol ORDER BY timestamp, trade_id"
 
 
-@query(f"""WITH l AS (SELECT *, CAST(lead(price, 30) OVER o / NULLIF(price, 0) - 1 > 1e-4::DOUBLE AS INTEGER) AS label,
- avg(price) OVER w5 AS ma FROM ticks WINDOW o AS ({_T}), w5 AS ({_T} ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)),
- k AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY timestamp, trade_id) - 1 AS i, count(*) OVER (PARTITION BY symbol) AS n FROM l
- WHERE label IS NOT NULL AND return_1 IS NOT NULL), s AS (SELECT *, CASE WHEN i < n - greatest(1, CAST(floor(n * 0.2::DOUBLE) AS BIGINT))
- THEN 'train' ELSE 'val' END AS split FROM k), f AS (SELECT avg(ma) AS c, stddev_pop(ma) AS d FROM s WHERE split = 'train')
- SELECT symbol, timestamp, trade_id, split, label, R((ma - c) / d) AS price_ma_5 FROM s, f""")
+SHARED["tick_labels"] = f"""SELECT *, CAST(lead(price, 30) OVER o / NULLIF(price, 0) - 1 > 1e-4::DOUBLE AS INTEGER) AS label,
+ avg(price) OVER w5 AS ma FROM ticks WINDOW o AS ({_T}), w5 AS ({_T} ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)"""
+SHARED["tick_places"] = """SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY timestamp, trade_id) - 1 AS i,
+ count(*) OVER (PARTITION BY symbol) AS n FROM tick_labels WHERE label IS NOT NULL AND return_1 IS NOT NULL"""
+SHARED["tick_split"] = """SELECT *, CASE WHEN i < n - greatest(1, CAST(floor(n * 0.2::DOUBLE) AS BIGINT))
+ THEN 'train' ELSE 'val' END AS split FROM tick_places"""
+
+
+@query("""WITH f AS (SELECT avg(ma) AS c, stddev_pop(ma) AS d FROM tick_split WHERE split = 'train')
+ SELECT symbol, timestamp, trade_id, split, label, R((ma - c) / d) AS price_ma_5 FROM tick_split, f""")
 def training(v: Views):
     return _training(v).df.select("symbol", "timestamp", "trade_id", "split", "label", "price_ma_5")
 
 
-@query()
+@query(f"""WITH f AS (SELECT avg(ma) AS c, stddev_pop(ma) AS d FROM tick_split WHERE split = 'train'), v AS (SELECT symbol, timestamp,
+ trade_id, label, (ma - c) / d AS x, row_number() OVER ({_T}) AS place FROM tick_split, f WHERE split = 'val'), w AS (SELECT *,
+ lag(x) OVER o AS newest, lag(x, 20) OVER o AS oldest FROM v WINDOW o AS ({_T}))
+ SELECT symbol, timestamp, trade_id, label, 20 AS length, R(oldest) AS oldest, R(newest) AS newest FROM w WHERE place > 20""")
 def training_sequences(v: Views):
+    """The sequences of the validation part: their length and the moving average at both ends."""
     data = _training(v)
     out = datasets.training_sequences(data, "val", 20, order=TICK_ORDER)
-    return out.select("symbol", *TICK_ORDER, "label", F.size("sequence").alias("length"))
+    at = data.features.index("price_ma_5")
+    ends = {name: F.get(F.element_at("sequence", i), F.lit(at)) for name, i in (("oldest", 1), ("newest", -1))}
+    return out.select("symbol", *TICK_ORDER, "label", F.size("sequence").alias("length"), *[c.alias(n) for n, c in ends.items()])
 
 
 @query()
@@ -253,7 +263,8 @@ def split_reports(v: Views):
     return datasets.split_reports(*_report_parts(v))["targets"]
 
 
-@query()
+@query("""SELECT signal_value, count(*) AS n_signals, CAST(sum(had_fill) AS BIGINT) AS n_filled, R(avg(had_fill)) AS fill_rate
+ FROM filled GROUP BY signal_value""")
 def log_summary(v: Views):
     return datasets.log_summary(v.signals, v.fills, fill_within(v.signals, v.fills, 3600))["fill_rate_signal"]
 

@@ -172,12 +172,15 @@ def split_time(v: Views):
     return splits.split_time(hours(v), order=["ts", "symbol"]).select("symbol", "ts", "split")
 
 
-@query()
+_UNIT = "CAST(concat('0x', substr(md5(concat('42|', trade_id)), 1, 13)) AS BIGINT) / 4503599627370496::DOUBLE"
+
+
+@query(f"SELECT symbol, trade_id, CASE WHEN {_UNIT} < 0.2::DOUBLE THEN 'val' ELSE 'train' END AS split FROM trades")
 def split_hash(v: Views):
-    return splits.split_hash(v.trades, ["trade_id"], 0.2).groupBy("split").count()
+    return splits.split_hash(v.trades, ["trade_id"], 0.2).select("symbol", "trade_id", "split")
 
 
-@query()
+@query(f"SELECT symbol, ts, trade_id, R(price) AS price, R(qty) AS qty, is_buyer_maker FROM trades WHERE {_UNIT} < 0.1::DOUBLE")
 def sample_hash(v: Views):
     return splits.sample_hash(v.trades, ["trade_id"], 0.1)
 
