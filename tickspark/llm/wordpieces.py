@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickspark.llm.arrays import slices
 from tickspark.llm.lattice import Pieces
@@ -28,6 +29,8 @@ BLANK = "\u2581"
 REMEMBERED = 250_000
 # Characters of new words that are sorted at a time.
 SORTED = 1 << 18
+# Rows decoded at a time, so that their texts do not pile up beside the ids.
+DECODED = 64
 
 
 class Encoder:
@@ -210,16 +213,24 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
     first blank. Null or no ids give the empty text, control ids nothing; ids outside the
     vocabulary are an error."""
 
-    @F.pandas_udf("string")
-    def run(column):
+    df = df.drop(out)
+    at = df.columns.index(ids)
+    schema = T.StructType([*df.schema.fields, T.StructField(out, T.StringType())])
+
+    def run(batches):
         table = _piece_bytes(path)
-        texts = []
-        for row in column:
-            if row is None:
-                texts.append("")
-                continue
-            text = b"".join([table[i] for i in row.tolist()]).decode("utf-8", "replace").replace(BLANK, " ")
-            texts.append(text[1:] if text.startswith(" ") else text)
-        return column.__class__(texts, dtype=object)
-
-    return df.withColumn(out, run(ids))
+        for whole in batches:
+            for lo in range(0, whole.num_rows, DECODED):
+                batch = whole.slice(lo, DECODED)
+                column = batch.column(at)
+                flat, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_pylist()
+                texts = []
+                for known, i, j in zip(column.is_valid().to_pylist(), ends[:-1], ends[1:]):
+                    row = flat[i:j].tolist() if known else ()
+                    text = b"".join([table[x] for x in row]).decode("utf-8", "replace").replace(BLANK, " ")
+                    texts.append(text[1:] if text.startswith(" ") else text)
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, out]
+                )
+
+    return df.mapInArrow(run, schema)
