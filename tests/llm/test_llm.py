@@ -107,6 +107,25 @@ def test_near_edges(spark, docs):
     assert near.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_drop_near_decides_by_row(spark):
+    words = {k: [f"{k}{i}" for i in range(60)] for k in "abcde"}
+    first, clean, lost, alone, same = (" ".join(w) for w in words.values())
+    rows = [
+        (1, first), (2, first + " more"), (2, clean),  # one text under id 2 is a near copy, the other has none
+        (None, lost), (None, lost + " more"), (None, lost + " more still"), (None, alone), (None, first + " too"),
+        (3, same), (3, same.upper()), (4, ""), (4, None), (None, " "),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' AS row", "1 AS key").repartition(3)
+    stays = near.drop_near(df, 80)
+    assert stays.columns == df.columns
+    got = [(r.doc_id, r.text) for r in stays.collect()]
+    assert sorted(set(got) & {rows[i] for i in (0, 1, 2, 6, 7)}, key=str) == sorted([rows[0], rows[2], rows[6]], key=str)
+    assert sum((t or "").startswith(lost) for _, t in got) == 1
+    assert [k for k, t in got if (t or "").lower() == same] == [3]
+    assert len(got) == 8
+    assert near.drop_near(df.limit(0)).count() == 0
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 200), (200, 100)], "a long, b long")
     got = {r.node: r.root for r in components(edges).collect()}

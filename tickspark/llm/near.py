@@ -49,10 +49,12 @@ def band_keys(values: np.ndarray, bounds: np.ndarray, rows: int, bands: int) ->
     return out
 
 
-def signatures(df: DataFrame, key: str, text: str, percent: int) -> DataFrame:
+def signatures(df: DataFrame, key: str, text: str, percent: int, row: str | None = None) -> DataFrame:
     """Per row: ``key``, its number of distinct shingles ``n``, its word sequence as two hashes
-    ``p``, ``q``, and its bucket keys ``bands`` (empty without words)."""
+    ``p``, ``q``, its bucket keys ``bands`` (empty without words), and the row number ``row``
+    if its column is given."""
     rows = rows_per_band(percent)
+    numbers = [F.col(row).cast("long").alias("row")] if row else []
 
     def sign(batches):
         for whole in batches:
@@ -78,12 +80,14 @@ def signatures(df: DataFrame, key: str, text: str, percent: int) -> DataFrame:
                         pa.array(p.view(np.int64)),
                         pa.array(q.view(np.int64)),
                         bands,
+                        *batch.columns[2:],
                     ],
-                    names=["key", "n", "p", "q", "bands"],
+                    names=["key", "n", "p", "q", "bands"] + ["row"] * len(batch.columns[2:]),
                 )
 
-    narrow = df.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
-    return narrow.mapInArrow(sign, "key long, n long, p long, q long, bands array<long>")
+    narrow = df.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"), *numbers)
+    schema = "key long, n long, p long, q long, bands array<long>" + ", row long" * len(numbers)
+    return narrow.mapInArrow(sign, schema)
 
 
 def linked(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[tuple[int, int]]:
@@ -194,10 +198,32 @@ def near_duplicates(df: DataFrame, percent: int = 80, text: str = "text", key: s
     families; only texts of families of two or more nodes are read again and compared.
     """
     signed = stage(signatures(df, key, text, percent))
+    named = linked_classes(df, signed, percent, text, key)
+    ids = named.groupBy("root").agg(F.min("rep").alias("component_id"))
+    named = named.join(ids, "root").select(F.col("p").alias("_p"), F.col("q").alias("_q"), "component_id")
+    own = (F.col("p") == F.col("_p")) & (F.col("q") == F.col("_q")) & (F.col("n") > 0)
+    out = signed.select("key", "n", "p", "q").join(named, own, "left")
+    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key"))
+    return out.select(
+        F.col("key").alias(key),
+        F.col("n").alias("n_shingles"),
+        component.alias("component_id"),
+        (component.isNull() | component.eqNullSafe(F.col("key"))).alias("kept"),
+    )
+
+
+def linked_classes(df: DataFrame, signed: DataFrame, percent: int, text: str, key: str) -> DataFrame:
+    """One row per word sequence of ``signed``: its hashes ``p``, ``q``, its smallest key
+    ``rep``, and ``root``, the same for all sequences of a component. If the rows are numbered
+    also ``lead``, its row of the smallest key, null keys last."""
     # A word sequence is one class. Classes whose keys are all null get a number below all keys.
-    classes = signed.filter("n > 0").groupBy("p", "q").agg(F.min("key").alias("rep"), F.first("bands").alias("bands"))
+    made = [F.min("key").alias("rep"), F.first("bands").alias("bands")]
+    lead = ["lead"] if "row" in signed.columns else []
+    if lead:
+        made.append(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "row")).alias("lead"))
+    classes = signed.filter("n > 0").groupBy("p", "q").agg(*made)
     node = F.xxhash64("p", "q")
-    classes = stage(classes.select("p", "q", "rep", node.alias("node"), "bands"))
+    classes = stage(classes.select("p", "q", "rep", node.alias("node"), "bands", *lead))
     buckets = classes.select("node", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most"))
     edges = buckets.join(shared.filter("least < most"), "bucket").filter("node > least")
@@ -209,19 +235,8 @@ def near_duplicates(df: DataFrame, percent: int = 80, text: str = "text", key: s
     fetched = fetch(df, inside, signed, text, key)
     links = near_links(tiles(fetched), percent)
     roots = components(links)
-    named = classes.select("node", "p", "q", "rep").join(roots, "node", "left")
-    named = named.select("p", "q", "rep", F.coalesce("root", "node").alias("root"))
-    ids = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = named.join(ids, "root").select(F.col("p").alias("_p"), F.col("q").alias("_q"), "component_id")
-    own = (F.col("p") == F.col("_p")) & (F.col("q") == F.col("_q")) & (F.col("n") > 0)
-    out = signed.select("key", "n", "p", "q").join(named, own, "left")
-    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key"))
-    return out.select(
-        F.col("key").alias(key),
-        F.col("n").alias("n_shingles"),
-        component.alias("component_id"),
-        (component.isNull() | component.eqNullSafe(F.col("key"))).alias("kept"),
-    )
+    named = classes.select("node", "p", "q", "rep", *lead).join(roots, "node", "left")
+    return named.select("p", "q", "rep", F.coalesce("root", "node").alias("root"), *lead)
 
 
 def fetch(df: DataFrame, inside: DataFrame, signed: DataFrame, text: str, key: str) -> DataFrame:
@@ -265,9 +280,13 @@ def signatures_of(texts: DataFrame) -> DataFrame:
 
 
 def drop_near(df: DataFrame, percent: int = 80, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows that stay, with all their columns: of each component the row of the smallest
-    key. Rows without a key stay unless their component has one. Repeated rows of one key stay
-    together; remove them by exact deduplication first."""
-    gone = near_duplicates(df, percent, text, key).filter(~F.col("kept") & F.col(key).isNotNull())
-    gone = gone.select(F.col(key).cast("long").alias("__gone")).distinct()
-    return df.join(gone, F.col(key) == F.col("__gone"), "left_anti")
+    """The rows that stay, with all their columns: of each component exactly one row, that of
+    the smallest key, null keys last; among rows of that key any one. Texts decide, so a row
+    stays whatever becomes of other texts under its key. Rows without words all stay."""
+    # Written once, so that the row numbers are the same however often they are read.
+    rows = stage(df.withColumn("__row", F.monotonically_increasing_id()))
+    signed = stage(signatures(rows, key, text, percent, "__row"))
+    named = linked_classes(rows, signed, percent, text, key)
+    stays = named.groupBy("root").agg(F.min("lead").alias("lead")).select(F.col("lead.row").alias("row"))
+    gone = signed.filter("n > 0").select("row").join(stays, "row", "left_anti").withColumnRenamed("row", "__gone")
+    return rows.join(gone, F.col("__row") == F.col("__gone"), "left_anti").drop("__row")
