@@ -290,6 +290,27 @@ def test_main_text():
     assert pages.main_text(apart) == "One two.\nThree four\nFive"
 
 
+def test_main_text_beside_cards_and_in_named_frames():
+    story = ["The story goes on, sentence after sentence, and says what happened." + f" Part {i}, told in full." for i in range(6)]
+    body = "".join(f"<p>{p}</p>" for p in story)
+    cards = "".join(f'<article class="card"><h3>Next {i}</h3><p>Read on, it is good.</p></article>' for i in range(3))
+    menu = '<div class="main-menu"><p>Home</p></div>'
+    side = '<div class="left-sidebar"><p>About us, and about the others who write here. We do, they do, all do, and so on and on.</p></div>'
+    for page in (
+        f"<div id=story><h1>Title</h1>{body}</div>{cards}",
+        f"<form><div id=story><h1>Title</h1>{body}</div></form>{cards}",
+        *(
+            f'{menu}<div class="{name}"><h1>Title</h1>{body}{side}</div>'
+            for name in ("content sidebar-right", "page-with-sidebar", "layout-sidebar", "page-no-sidebar", "sidebarLeft")
+        ),
+        f'{side}<article><h1>Title</h1>{body}</article><div id="comments-list"><p>{"I think, therefore I am. " * 90}</p></div>',
+    ):
+        got = pages.main_text(page).split("\n")
+        assert got[:7] == ["Title", *story] and (len(got) == 7 or cards in page)
+    featured = f"<div id=story>{body}</div><article><p>{story[0]}</p><p>{story[1]}</p><p>{story[2]}</p></article>"
+    assert pages.main_text(featured).split("\n") == [*story, *story[:3]]
+
+
 def test_pages_edges(spark):
     df = spark.createDataFrame([(1, None, None), (None, "u", "<p>Hello there.")], "page_id long, url string, html string")
     got = {r.page_id: (r.url, r.text, r.n_chars) for r in pages.extract(df.selectExpr("*", "1 AS text")).collect()}

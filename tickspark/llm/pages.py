@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,15 +42,24 @@ APART_WORDS = {
     "promoted", "recommended", "related", "replies", "reply", "respond", "share", "sharing", "sidebar", "signup",
     "skip", "social", "sponsor", "sponsored", "subscribe", "toolbar", "topbar", "widget",
 }
-DESCRIBING = {"has", "with", "no", "without", "js", "is", "show", "hide"}
+DESCRIBING = {"has", "with", "no", "without", "js", "is", "show", "hide", "layout", "template"}
+# Of the words above those that name texts: their marks are never taken back.
+PROSE = {
+    "comment", "comments", "consent", "cookie", "cookies", "disclaimer", "disqus", "footer", "gdpr", "notice",
+    "recommended", "related", "replies", "reply", "respond",
+}
 ARTICLE = {"article", "main"}
 ARTICLE_ROLES = {"main", "article"}
 ARTICLE_PROPS = {"articlebody"}
 
 # Short text blocks that belong to content blocks of the same parent.
 BESIDE = {"h1", "h2", "h3", "h4", "h5", "h6", "p", "li", "pre", "blockquote"}
-# Length times signs at which a path's ratio is one half.
+# Length times signs at which a path's ratio is one half; a block from there on is long text.
 HALF = 200.0
+# A good share of a page's long text, and most of it.
+GOOD, MOST = 0.25, 0.5
+# How an element is set apart: not at all, unless it holds most of the page's long text, always.
+OPEN, DOUBTFUL, APART_FROM = 0, 1, 2
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^\s/>]*(?:\"[^\"]*\"|'[^']*'|[^>\"'])*(?:>|\Z)", re.DOTALL
@@ -64,56 +73,62 @@ SPACE = re.compile(r"\s+")
 SIGNS = re.compile(r"[.,;:!?…。，、¿¡]")
 
 
-def _named_apart(value: str, whole: bool) -> bool:
+def _named_apart(value: str, whole: bool) -> int:
     """Whether a class or id names a part outside the article. Parts of a token count as well
-    unless ``whole``, but not in tokens such as has-sidebar that describe what is inside."""
+    unless ``whole``, but only in doubt where they may describe a page's frame (sidebar-right),
+    and not after words such as in page-with-sidebar that describe what is inside."""
+    mark = OPEN
     for token in value.split():
         words = WORDS.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", token).lower())
-        if words and (len(words) == 1 or (not whole and words[0] not in DESCRIBING)):
-            if not APART_WORDS.isdisjoint(words):
-                return True
-    return False
+        if len(words) == 1:
+            if words[0] in APART_WORDS:
+                return APART_FROM
+        elif not whole:
+            cut = next((i for i, w in enumerate(words) if w in DESCRIBING and not (w == "layout" and "__" in token)), None)
+            found = APART_WORDS.intersection(words[:cut])
+            if found:
+                mark = max(mark, DOUBTFUL if PROSE.isdisjoint(found) else APART_FROM)
+    return mark
 
 
-def _marks(name: str, tag: str) -> tuple[bool, bool]:
-    """Whether an element is set apart from the article, and whether it is an article."""
-    apart, article = name in APART, name in ARTICLE
+def _marks(name: str, tag: str) -> tuple[int, bool]:
+    """How an element is set apart from the article, and whether it is an article."""
+    # A form may be a page's frame.
+    apart, article = (DOUBTFUL if name == "form" else APART_FROM) if name in APART else OPEN, name in ARTICLE
     if "=" in tag:
         for key, *values in ATTRIBUTE.findall(tag):
             key, value = key.lower(), "".join(values)
             if key == "role":
-                apart |= value.lower() in APART_ROLES
+                apart = APART_FROM if value.lower() in APART_ROLES else apart
                 article |= value.lower() in ARTICLE_ROLES
             elif key == "itemprop":
                 article |= value.lower() in ARTICLE_PROPS
             elif key in ("class", "id") and name not in ("html", "body"):
-                apart |= _named_apart(value, name in ARTICLE or name in INLINE)
+                apart = max(apart, _named_apart(value, name in ARTICLE or name in INLINE))
             elif key == "aria-hidden":
-                apart |= value.lower() == "true"
-    apart |= HIDDEN.search(QUOTED.sub("", tag)) is not None
+                apart = APART_FROM if value.lower() == "true" else apart
+    if HIDDEN.search(QUOTED.sub("", tag)):
+        apart = APART_FROM
     return apart, article
 
 
-def blocks(page: str) -> Iterator[tuple[str, str, bool, bool]]:
-    """The page's text blocks in order: (tag path, text, set apart, in an article)."""
-    stack: list[tuple[str, bool, bool]] = []  # open block elements: name, set apart, article
+# An open block element: its name, how it is set apart, whether it is an article, its number.
+Element = tuple[str, int, bool, int]
+
+
+def blocks(page: str) -> Iterator[tuple[str, tuple[Element, ...]]]:
+    """The page's text blocks in order: (text, block elements around it from the root)."""
+    stack: list[Element] = []
     parts: list[str] = []
     at = 0
     muted, depth = "", 0  # inline element set apart whose text is passed over, and its nesting
 
-    def end() -> Iterator[tuple[str, str, bool, bool]]:
+    def end() -> Iterator[tuple[str, tuple[Element, ...]]]:
         if parts:
             text = SPACE.sub(" ", html.unescape("".join(parts))).strip()
             parts.clear()
             if text:
-                path = "/".join(name for name, _, _ in stack)
-                inside = [i for i, s in enumerate(stack) if s[2]]
-                last = inside[-1] if inside else -1
-                # A form around the article is a page's frame.
-                apart = any(s[1] and not (s[0] == "form" and i < last) for i, s in enumerate(stack))
-                # A header belongs to the article only inside of it.
-                apart |= any(s[0] == "header" and not (inside and inside[0] < i) for i, s in enumerate(stack))
-                yield path, text, apart, bool(inside)
+                yield text, tuple(stack)
 
     while at < len(page):
         found = TOKEN.search(page, at)
@@ -138,7 +153,7 @@ def blocks(page: str) -> Iterator[tuple[str, str, bool, bool]]:
             # of the block.
             if depth:
                 depth += (-1 if tag[1] == "/" else 1) * (name == muted)
-            elif tag[1] != "/" and name not in VOID and not tag.endswith("/>") and _marks(name, tag)[0]:
+            elif tag[1] != "/" and name not in VOID and not tag.endswith("/>") and _marks(name, tag)[0] != OPEN:
                 muted, depth = name, 1
             continue
         if name == "br":
@@ -163,10 +178,61 @@ def blocks(page: str) -> Iterator[tuple[str, str, bool, bool]]:
         if name == "body":
             stack[:] = [s for s in stack if s[0] == "html"]
         if not tag.endswith("/>"):
-            stack.append((name, *_marks(name, tag)))
+            stack.append((name, *_marks(name, tag), at))
     yield from end()
 
 
+def _is_apart(around: tuple[Element, ...], least: int, back: set[int]) -> bool:
+    """Whether a block is set apart by marks from ``least`` on, but those of ``back``."""
+    inside = [i for i, s in enumerate(around) if s[2]]
+    first, last = (inside[0], inside[-1]) if inside else (len(around), -1)
+    # A form around the article is a page's frame; a header belongs to the article only inside of it.
+    return any(
+        (s[1] >= least and s[3] not in back and not (s[0] == "form" and i < last)) or (s[0] == "header" and i <= first)
+        for i, s in enumerate(around)
+    )
+
+
+def _settle(found: list[tuple[str, tuple[Element, ...]]]) -> tuple[list[tuple[str, bool, bool]], bool]:
+    """Per block its tag path, whether it is set apart and whether it is in an article; and
+    whether the articles are the whole content.
+
+    What counts is the page's long text, blocks whose length times signs reaches ``HALF``. A
+    doubtful mark is taken back from an element that holds most of it, unless an article
+    elsewhere holds a good share. If text outside of articles holds a good share and no single
+    article holds most, only articles with a good share count, and not alone.
+    """
+    signs = [len(SIGNS.findall(text)) for text, _ in found]
+    mass = [len(t) if n and len(t) * (1 + n) >= HALF else 0 for (t, _), n in zip(found, signs)]
+    fixed = [_is_apart(around, APART_FROM, set()) for _, around in found]
+    total = sum(m for m, out in zip(mass, fixed) if not out)
+
+    def shares(out: list[bool], wanted: Callable[[Element], bool]) -> dict[int, float]:
+        """The share of the long text in each of the wanted elements."""
+        held: dict[int, float] = {}
+        for (_, around), m, o in zip(found, mass, out):
+            for s in around if m and not o else ():
+                if wanted(s):
+                    held[s[3]] = held.get(s[3], 0) + m / total
+        return held
+
+    apart = [_is_apart(around, DOUBTFUL, set()) for _, around in found]
+    if apart != fixed and total:
+        frames = {k for k, x in shares(fixed, lambda s: s[1] == DOUBTFUL).items() if x > MOST}
+        if frames and max(shares(apart, lambda s: s[2]).values(), default=0) < GOOD:
+            apart = [_is_apart(around, DOUBTFUL, frames) for _, around in found]
+    own = [any(s[2] for s in around) for _, around in found]
+    whole = True
+    articles = shares(apart, lambda s: s[2])
+    outside = sum(m for m, a, o in zip(mass, own, apart) if not a and not o)
+    if any(own) and outside and outside >= GOOD * total and max(articles.values(), default=0) <= MOST:
+        whole = False
+        good = {k for k, x in articles.items() if x >= GOOD}
+        own = [any(s[3] in good for s in around) for _, around in found]
+    paths = ("/".join(s[0] for s in around) for _, around in found)
+    return list(zip(paths, apart, own)), whole
+
+
 def main_text(page: str | None) -> str:
     """The article of a page, its blocks joined by line feeds; empty if there is none.
 
@@ -174,24 +240,26 @@ def main_text(page: str | None) -> str:
     is the mean length of its blocks times their mean number of signs, each smoothed with the
     paths before and after it in page order, and brought between 0 and 1. It is fused with the
     page's own structure: 1 more within an article, 2 less in what is set apart. Paths from
-    the threshold on are content: 1 if anything reaches it, else a fifth of the highest score.
-    Without an article, short text blocks beside content blocks belong to them.
+    the threshold on are content: 1 if anything reaches it and the articles are the whole
+    content, else a fifth of the highest score but for the article's part of it. Then short
+    text blocks beside content blocks belong to them.
     """
     found = list(blocks(page or ""))
     if not found:
         return ""
-    keys = [(path, apart, article) for path, _, apart, article in found]
+    keys, whole = _settle(found)
     paths = list(dict.fromkeys(keys))
     place = {p: i for i, p in enumerate(paths)}
     count, length, signs = (np.zeros(len(paths)) for _ in range(3))
-    for key, (_, text, _, _) in zip(keys, found):
+    for key, (text, _) in zip(keys, found):
         i = place[key]
         count[i] += 1
         length[i] += len(text)
         signs[i] += len(SIGNS.findall(text))
     ratio = _smooth(length / count) * (1 + _smooth(signs / count))
-    fused = ratio / (ratio + HALF) + np.array([article - 2 * apart for _, apart, article in paths])
-    threshold = 1 if fused.max() >= 1 else max(fused.max() / 5, 0)
+    score = ratio / (ratio + HALF) - np.array([2 * apart for _, apart, _ in paths])
+    fused = score + np.array([article for _, _, article in paths])
+    threshold = 1 if whole and fused.max() >= 1 else max(score.max() / 5, 0)
     good = {p for p, s in zip(paths, fused) if s >= threshold}
     stems = {p[0].rpartition("/")[0] for p in good} if threshold < 1 else set()
 
@@ -199,7 +267,7 @@ def main_text(page: str | None) -> str:
         stem, _, leaf = key[0].rpartition("/")
         return key in good or (not key[1] and leaf in BESIDE and stem in stems)
 
-    return "\n".join(text for key, (_, text, _, _) in zip(keys, found) if content(key))
+    return "\n".join(text for key, (text, _) in zip(keys, found) if content(key))
 
 
 def _smooth(values: np.ndarray) -> np.ndarray:
