@@ -192,24 +192,26 @@ def per_symbol(
     label: str = "label",
     kind: str = "logistic",
     *,
-    symbols: Sequence[str],
+    symbols: Sequence[str] | None = None,
     split: str = "split",
     symbol: str = "symbol",
     **params: float,
 ) -> DataFrame:
-    """Train and evaluate one distributed model for each named symbol: a row of
-    validation metrics each. A symbol whose training rows hold one class is reported
+    """Train and evaluate one distributed model for each named symbol, all of the table
+    if none are named: a row of validation metrics each. A symbol whose training rows hold one class is reported
     with NULL metrics."""
     spark = df.sparkSession
     rows = None
+    if symbols is None:
+        symbols = [r[0] for r in df.select(symbol).distinct().orderBy(symbol).collect()]
     for s in symbols:
-        own = df.where(F.col(symbol) == s)
+        own = df.where(F.col(symbol).eqNullSafe(s))
         try:
             model = fit(own.where(F.col(split) == "train"), features, label, kind, **params)
         except ValueError:
             line = spark.createDataFrame([(s,)], f"{symbol} string")
         else:
-            line = model.evaluate(own.where(F.col(split) == "val")).select(F.lit(s).alias(symbol), "*")
+            line = model.evaluate(own.where(F.col(split) == "val")).select(F.lit(s).cast("string").alias(symbol), "*")
         rows = line if rows is None else rows.unionByName(line, allowMissingColumns=True)
     if rows is None:
         raise ValueError("no symbols given")

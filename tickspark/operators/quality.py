@@ -279,15 +279,15 @@ def outlier_bounds(df: DataFrame, columns: Sequence[str], rules: QualityRules =
 
 
 def compare_splits(
-    train: DataFrame, val: DataFrame, test: DataFrame, ts: str = "ts_ms", *, strict: bool = True
+    train: DataFrame, val: DataFrame, test: DataFrame, ts: str = "ts_ms", *, strict: bool = True, by: Sequence[str] = ()
 ) -> DataFrame:
-    """One row: bounds of the three splits, overlaps and the gaps between them.
+    """One row, or one per group of ``by``: bounds of the three splits, overlaps and the gaps between them.
     Different columns, and in strict mode overlapping times, raise."""
     if not train.columns == val.columns == test.columns:
         raise ValueError("splits have different columns")
     parts = {"train": train, "val": val, "test": test}
-    bounds = union_all([df.select(F.lit(n).alias("split"), F.col(ts).alias("t")) for n, df in parts.items()])
-    wide = bounds.agg(
+    bounds = union_all([df.select(*by, F.lit(n).alias("split"), F.col(ts).alias("t")) for n, df in parts.items()])
+    wide = bounds.groupBy(*by).agg(
         *[f(F.when(F.col("split") == n, F.col("t"))).alias(f"{n}_{e}") for n in parts for e, f in (("min", F.min), ("max", F.max))]
     )
     out = wide.select(
@@ -298,8 +298,7 @@ def compare_splits(
         (F.col("test_min") - F.col("val_max")).alias("gap_val_to_test"),
     )
     if strict:
-        row = out.first()
-        if row["train_val_overlap"] or row["val_test_overlap"]:
+        if out.where(F.col("train_val_overlap") | F.col("val_test_overlap")).limit(1).count():
             raise ValueError("splits overlap in time")
     return out
 

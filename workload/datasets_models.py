@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickspark.functions.expr import micros
 from tickspark.operators import bars, labels, models, splits, windows
-from tickspark.operators.align import fill_within
+from tickspark.operators.align import fill_within, union_all
 from tickspark.plans import datasets
 from tickspark.session import stage
 from workload.bars_windows import flow, frame, full, ticks
@@ -244,23 +244,31 @@ def model_importance(v: Views):
 @query()
 def model_per_symbol(v: Views):
     data = _training(v)
-    return models.per_symbol(data.df, data.features, symbols=["click", "view"], max_iter=20)
+    return models.per_symbol(data.df, data.features)
 
 
 # -- reports -----------------------------------------------------------------------------------
 
 
-def _report_parts(v: Views) -> list[DataFrame]:
-    rows = labels.add_return_labels(hours(v).where(F.col("symbol") == "click"), [5]).dropna(subset=["y_ret_5"])
+def _report_parts(v: Views) -> dict[str | None, list[DataFrame]]:
+    """The three splits of each symbol."""
+    rows = labels.add_return_labels(hours(v), [5]).dropna(subset=["y_ret_5"])
     made = splits.split_rows(labels.add_direction_labels(rows, [5]))
     made = made.withColumn("ts_ms", F.floor(micros("ts") / 1000).cast("bigint"))
-    keep = stage(made.select("ts_ms", "close", "volume", "y_ret_5", "y_dir_5", "split"))
-    return [keep.where(F.col("split") == s).drop("split") for s in ("train", "val", "test")]
+    keep = stage(made.select("symbol", "ts_ms", "close", "volume", "y_ret_5", "y_dir_5", "split"))
+    names = [r[0] for r in keep.select("symbol").distinct().orderBy("symbol").collect()]
+    own = {name: keep.where(F.col("symbol").eqNullSafe(name)).drop("symbol") for name in names}
+    return {name: [df.where(F.col("split") == s).drop("split") for s in ("train", "val", "test")] for name, df in own.items()}
 
 
 @query()
 def split_reports(v: Views):
-    return datasets.split_reports(*_report_parts(v))["targets"]
+    """Each symbol is a series of its own: times repeat between symbols."""
+    tables = [
+        datasets.split_reports(*parts)["targets"].withColumn("symbol", F.lit(name).cast("string"))
+        for name, parts in _report_parts(v).items()
+    ]
+    return union_all(tables)
 
 
 @query("""SELECT signal_value, count(*) AS n_signals, CAST(sum(had_fill) AS BIGINT) AS n_filled, R(avg(had_fill)) AS fill_rate

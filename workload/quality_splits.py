@@ -212,6 +212,19 @@ def split_compare(v: Views):
     return quality.compare_splits(*[rows.where(F.col("split") == s).drop("split") for s in ("train", "val", "test")], "t")
 
 
+@query("""SELECT * FROM (SELECT symbol, min(ts) FILTER (split = 'train') AS train_min, max(ts) FILTER (split = 'train') AS train_max,
+ min(ts) FILTER (split = 'val') AS val_min, max(ts) FILTER (split = 'val') AS val_max, min(ts) FILTER (split = 'test') AS test_min,
+ max(ts) FILTER (split = 'test') AS test_max FROM (SELECT symbol, epoch_us(ts) AS ts, split FROM parts WHERE split IS NOT NULL)
+ GROUP BY symbol), LATERAL (SELECT train_max >= val_min AS train_val_overlap, val_max >= test_min AS val_test_overlap,
+ val_min - train_max AS gap_train_to_val, test_min - val_max AS gap_val_to_test)""")
+def split_compare_symbols(v: Views):
+    """Each symbol's splits; ``split_compare`` and its SQL look at one."""
+    rows = splits.split_rows(hours(v)).select("symbol", micros("ts").alias("t"), "split")
+    return quality.compare_splits(
+        *[rows.where(F.col("split") == s).drop("split") for s in ("train", "val", "test")], "t", by=["symbol"]
+    )
+
+
 @query("""SELECT split, count(DISTINCT CASE WHEN close > open THEN 1 ELSE 0 END) AS classes FROM parts WHERE split IS NOT NULL
  GROUP BY split""")
 def class_guard(v: Views):
