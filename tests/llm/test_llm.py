@@ -249,6 +249,28 @@ def test_perspectives(spark):
     assert chat.rotate(df.limit(0)).count() == 0
 
 
+def test_perspectives_of_long_conversations(spark):
+    rows = [(1, 0, "system", "Rules"), (1, 300, "system", "More"), (1, 301, "system", "Rules")]
+    rows += [(1, i, ("ann", "bob")[i % 2], f"t{i:04}") for i in range(1, 700)]
+    rows += [(None, None, "ann", f"n{i:04}") for i in range(1000)] + [(None, None, "system", "Lost")]
+    rows += [(2, 5, "bob", "same")] * 600 + [(2, 0, "system", "Be brief"), (2, 400, "bob", "last")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    got = {(r.conv_id, r.part, r.perspective): r for r in chat.rotate(df).collect()}
+    start = "<|im_start|>system\n{}<|im_end|>\n".format
+    for (conv, part, name), r in got.items():
+        told = {1: ["Rules"] if part < 2 else ["Rules", "More"], 2: ["Be brief"], None: ["Lost"]}[conv]
+        assert start("Lost") in r.rendered if conv is None else r.rendered.startswith("".join(map(start, told)))
+        assert r.n_turns <= 256 + 2
+        spans = [r.rendered[a : a + n] for a, n in zip(r.mask_starts, r.mask_lengths)]
+        assert len(spans) == r.rendered.count("<|im_start|>assistant") and r.n_chars == len(r.rendered)
+    for conv, name in ((1, "ann"), (1, "bob"), (2, "bob"), (None, "ann")):
+        parts = sorted((k[1], r.rendered) for k, r in got.items() if k[0] == conv and k[2] == name)
+        assert [p for p, _ in parts] == list(range(len(parts)))
+        spoken = re.findall(r"assistant\n(.*?)<", "".join(t for _, t in parts))
+        own = [r for r in rows if (r[0], r[2]) == (conv, name)]
+        assert spoken == [r[3] for r in sorted(own, key=lambda r: (r[1] or 0, r[3]))]
+
+
 def test_neighbours_edges(spark):
     rows = [
         (0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [float("nan"), 1.0]),
