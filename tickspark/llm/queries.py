@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickspark.llm import chat, exact, language, lines, near, neighbours, packing, pages, shards, wordpieces
+from tickspark.llm import chat, exact, language, leaks, lines, near, neighbours, packing, pages, shards, wordpieces
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -90,6 +90,20 @@ def op10_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
 
 
+@_query
+def op11_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = leaks.scan(docs, _table(spark, sf_dir, "benchmark"), window=10)
+    return found.select(
+        "doc_id",
+        "leaks.n_words",
+        "leaks.n_hit",
+        F.size("leaks.items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", "leaks.items"), 256).alias("items_sha256"),
+        (F.col("leaks.n_hit") > 0).alias("contaminated"),
+    )
+
+
 ORACLE["op1_nearest"] = """
 WITH fine AS (
   SELECT vec_id, min(embedding::DOUBLE[]) AS v FROM embeddings
@@ -150,3 +164,27 @@ WITH h AS (
 ), g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM h GROUP BY text_sha256)
 SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256 FROM h JOIN g USING (text_sha256)
 """
+
+_LOWER = f"translate(coalesce(text, ''), '{exact.UPPER}', '{exact.UPPER.lower()}')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+ORACLE["op11_leaks"] = f"""
+WITH items AS (
+  SELECT item_id, words, least(len(words), 10) AS size FROM (SELECT item_id, {_WORDS} AS words FROM benchmark) WHERE len(words) > 0
+), windows AS (
+  SELECT DISTINCT item_id, size, words[i : i + size - 1] AS run
+  FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS i FROM items)
+), docs AS (
+  SELECT doc_id, row_number() OVER () AS row, {_WORDS} AS words FROM documents
+), runs AS (
+  SELECT row, i, size, words[i : i + size - 1] AS run
+  FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS i FROM docs CROSS JOIN (SELECT DISTINCT size FROM items))
+), hits AS (SELECT * FROM runs JOIN windows USING (size, run)),
+hit AS (SELECT row, count(DISTINCT spot) AS n_hit FROM (SELECT row, unnest(range(i, i + size)) AS spot FROM hits) GROUP BY row),
+named AS (
+  SELECT row, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS names
+  FROM hits GROUP BY row
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (row) LEFT JOIN named USING (row)
+"""
