@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickspark.llm import chat, exact, language, leaks, lines, near, neighbours, packing, pages, shards, wordpieces
+from tickspark.llm import chat, exact, language, leaks, lines, manifest, near, neighbours, packing, pages, shards
+from tickspark.llm import wordpieces
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -104,6 +105,15 @@ def op11_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    more = F.when(chosen, F.col("n_chars").cast("decimal(20, 0)") + 1)
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    return manifest.manifest(docs, columns, tampered={"n_chars": more})
+
+
 ORACLE["op1_nearest"] = """
 WITH fine AS (
   SELECT vec_id, min(embedding::DOUBLE[]) AS v FROM embeddings
@@ -188,3 +198,49 @@ SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coale
   sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN hit USING (row) LEFT JOIN named USING (row)
 """
+
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen({0}::VARCHAR) || ':' || {0}::VARCHAR END"
+_RECORD = " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "{n}", "text"))
+_CRC = """xor(list_reduce([4294967295::BIGINT] || [ascii(c)::BIGINT for c in string_split(doc_id::VARCHAR, '')],
+    lambda crc, c: list_reduce([xor(crc, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v // 2, (v % 2) * 3988292384))), 4294967295)"""
+# A level of a tree to the next: nodes i and their siblings, then the parents.
+ORACLE["op12_manifest"] = f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, lang, sha256({_RECORD.format(n="n_chars")}) AS leaf,
+    CASE WHEN {_CRC} % 7 = 0 THEN sha256({_RECORD.format(n="(n_chars + 1)")}) END AS shown, row_number() OVER () AS row FROM documents
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, row) - 1 AS i,
+    count(*) OVER (PARTITION BY lang) AS n FROM docs
+), nodes AS (
+  SELECT lang, 0 AS level, i, n, leaf AS node FROM leaves
+  UNION ALL
+  SELECT lang, level + 1, i // 2, (n + 1) // 2, sha256(string_agg(node, '' ORDER BY i)) FROM nodes
+  WHERE n > 1 GROUP BY lang, level, i // 2, n
+), heads AS (
+  SELECT lang, node AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM nodes WHERE n = 1
+), tops AS (
+  SELECT 0 AS level, i, n, subroot AS node FROM heads
+  UNION ALL
+  SELECT level + 1, i // 2, (n + 1) // 2, sha256(string_agg(node, '' ORDER BY i)) FROM tops WHERE n > 1 GROUP BY level, i // 2, n
+), steps AS (
+  SELECT row, s.level, i >> s.level AS j, leaves.lang FROM leaves, (SELECT DISTINCT level FROM nodes WHERE n > 1) s
+  WHERE (n - 1) >> s.level > 0
+  UNION ALL
+  SELECT row, 1000 + t.level, h.i >> t.level, NULL FROM leaves JOIN heads h ON leaves.lang IS NOT DISTINCT FROM h.lang,
+    (SELECT DISTINCT level FROM tops WHERE n > 1) t
+), way AS (
+  SELECT row, s.level, j % 2 = 1 AS "left", coalesce(a.node, b.node) AS node
+  FROM steps s LEFT JOIN nodes a ON s.level < 1000 AND a.lang IS NOT DISTINCT FROM s.lang AND a.level = s.level AND a.i = xor(j, 1)
+  LEFT JOIN tops b ON s.level >= 1000 AND b.level = s.level - 1000 AND b.i = xor(j, 1)
+), proofs AS (
+  SELECT row, list({{'l': "left", 'x': coalesce(node, '')}} ORDER BY level) AS proof FROM way GROUP BY row
+)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(list_aggregate([p.x for p in proof], 'string_agg', ''), '')) AS proof_sha256,
+  folded_root, folded_root = root AS verified, 2 * i - bit_count(i) AS leaf_place
+FROM (
+  SELECT l.*, subroot, proof, (SELECT node FROM tops WHERE n = 1) AS root, list_reduce(
+    [{{'l': false, 'x': coalesce(shown, leaf)}}] || coalesce(proof, []),
+    lambda a, p: {{'l': false, 'x': sha256(CASE WHEN p.l THEN p.x || a.x ELSE a.x || p.x END)}}).x AS folded_root
+  FROM leaves l JOIN heads h ON l.lang IS NOT DISTINCT FROM h.lang LEFT JOIN proofs p USING (row)
+)
+"""
