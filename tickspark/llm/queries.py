@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickspark.llm import chat, exact, language, leaks, lines, manifest, near, neighbours, packing, pages, shards
-from tickspark.llm import wordpieces
+from tickspark.llm import search, wordpieces
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -114,6 +114,11 @@ def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest(docs, columns, tampered={"n_chars": more})
 
 
+@_query
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.rank(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
+
+
 ORACLE["op1_nearest"] = """
 WITH fine AS (
   SELECT vec_id, min(embedding::DOUBLE[]) AS v FROM embeddings
@@ -244,3 +249,21 @@ FROM (
   FROM leaves l JOIN heads h ON l.lang IS NOT DISTINCT FROM h.lang LEFT JOIN proofs p USING (row)
 )
 """
+
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+ORACLE["op13_search"] = f"""
+WITH wanted AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+docs AS (SELECT doc_id, row_number() OVER () AS row, {_TERMS} AS terms FROM documents),
+corpus AS (SELECT count(*) FILTER (WHERE len(terms) > 0) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM docs),
+tf AS (
+  SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM docs)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY row, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, corpus GROUP BY term, n_docs
+), parts AS (
+  SELECT row, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(terms) * n_docs) // n_terms))) AS part
+  FROM tf JOIN weights USING (term) JOIN docs USING (row), corpus
+), scores AS (SELECT item_id, row, sum(part)::BIGINT AS score FROM wanted JOIN parts USING (term) GROUP BY item_id, row)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST)::INTEGER AS rank, doc_id, score
+FROM scores JOIN docs USING (row) WHERE score > 0 QUALIFY rank <= 10
+"""
