@@ -212,12 +212,19 @@ def read_streamer_snapshots(spark: SparkSession, path: str | Sequence[str]) -> D
 
 
 def streamer_columns(lines: DataFrame, line: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    out = streamer_cells(lines, line, [*keep, "fields"]).where(F.col("fields") >= 6).drop("fields")
+    return out.dropna(subset=["timestamp", "bid_price", "bid_qty", "ask_price", "ask_qty", "volume"])
+
+
+def streamer_cells(lines: DataFrame, line: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """The cells of symbol-first lines, NULL where one is missing or not a number. ``fields``
+    may be kept as well: how many a line has."""
     part = F.split(F.col(line), ",")
 
     def num(i: int) -> Column:
         return F.trim(F.get(part, i)).try_cast("double")
 
-    out = lines.where(F.size(part) >= 6).select(
+    return lines.withColumn("fields", F.size(part)).select(
         *keep,
         F.get(part, 0).alias("symbol"),
         F.trim(F.get(part, 1)).try_cast("bigint").alias("timestamp"),
@@ -227,7 +234,6 @@ def streamer_columns(lines: DataFrame, line: str = "value", keep: Sequence[str]
         num(5).alias("ask_qty"),
         F.when(F.size(part) > 6, num(6)).otherwise(0.0).alias("volume"),
     )
-    return out.dropna(subset=["timestamp", "bid_price", "bid_qty", "ask_price", "ask_qty", "volume"])
 
 
 # -- messages and logs ---------------------------------------------------------------------

@@ -6,7 +6,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -101,3 +101,9 @@ def feature_key(key: str) -> str:
         if out.endswith(ending):
             return out.removesuffix(ending) + ".parquet"
     return out
+
+
+def feature_key_column(key: Column | str) -> Column:
+    """``feature_key`` of a column of raw keys."""
+    out = F.replace(F.col(key) if isinstance(key, str) else key, F.lit("trades/"), F.lit("features/"))
+    return F.regexp_replace(out, r"\.(json\.gz|json|store)$", ".parquet")

@@ -1,27 +1,38 @@
-"""Structured Streaming forms of ingest, on-arrival features, bars, deduplication
-and segments. Rows later than the watermark are dropped; ``dropped_rows`` counts
-them from the query progress."""
+"""Structured Streaming forms of ingest, bars, deduplication and segments; features on arrival
+are in ``arrivals``, stateful steps in ``state``. Rows later than the watermark are dropped;
+``LateRows`` counts them."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+import threading
+import time
+from collections import defaultdict
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tickspark import schemas
 from tickspark.functions.expr import interval_literal, normalise_ticks
 from tickspark.operators.bars import flow_aggregates, flow_derived
-from tickspark.operators.rolling import rolling_table
-from tickspark.operators.windows import FLOW_WINDOWS, TICK_LAGS, TICK_WINDOWS, tick_features, tick_statistics
-from tickspark.sources.readers import streamer_columns
-from tickspark.sources.sinks import dated, stream_messages
-
-# One batch is flushed at 1000 messages or after 5 seconds.
-FLUSH_EVERY = "5 seconds"
+from tickspark.sources.sinks import stream_messages
+from tickspark.streaming.arrivals import arrival_stream, parse_arrivals, process_arrivals
+from tickspark.streaming.state import FLUSH_ROWS, FLUSH_SECONDS, batched, require_state_store, stream_tick_features
+
+__all__ = [
+    "LateRows",
+    "arrival_stream",
+    "ingest",
+    "message_stream",
+    "parse_arrivals",
+    "process_arrivals",
+    "run_available",
+    "stream_dedup",
+    "stream_flow_bars",
+    "stream_segments",
+    "stream_tick_features",
+]
 
 
 # -- ingest ---------------------------------------------------------------------------
@@ -40,91 +51,27 @@ def message_stream(spark: SparkSession, path: str, *, max_files: int = 1000) ->
 
 
 def ingest(
-    spark: SparkSession, source: str, target: str, checkpoint: str, *, every: str | None = FLUSH_EVERY
-) -> StreamingQuery:
-    """Write arriving messages to ``symbol=/date=/hour=`` JSON. The file sink commits
-    each batch once, so a failed flush is repeated and never doubled."""
-    return stream_messages(message_stream(spark, source), target, checkpoint, every=every)
-
-
-# -- features on arrival -----------------------------------------------------------------
-
-
-def arrival_stream(spark: SparkSession, path: str, *, max_files: int = 1000) -> DataFrame:
-    """(source, content): whole small files, as flushed by an ingest job."""
-    return (
-        spark.readStream.format("text")
-        .option("wholetext", True)
-        .option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", max_files)
-        .load(path)
-        .select(F.col("_metadata.file_path").alias("source"), F.col("value").alias("content"))
-    )
-
-
-def parse_arrivals(files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(ticks, results) of raw files. Ticks carry their ``source`` and ``position`` in it, which
-    puts ticks of equal time in order; results say per file ``success`` with a row count, ``skipped`` without rows, or ``error``."""
-    is_store = F.col("source").endswith(".store")
-    # A malformed document gives one element without any value.
-    element = schemas.MESSAGES.simpleString()
-    rows = F.from_json("content", f"array<{element}>", {"mode": "PERMISSIVE"})
-    json_rows = (
-        files.where(~is_store)
-        .select("source", F.posexplode_outer(rows).alias("position", "m"))
-        .select("source", "position", "m.*")
-        .withColumnRenamed("s", "symbol")
-    )
-    json_ticks = normalise_ticks(json_rows).select(
-        "source", "position", "symbol", "timestamp", "price", "qty", "trade_direction", "timestamp_dt"
-    )
-    split = F.split("content", "\\r?\\n")
-    lines = files.where(is_store).select("source", F.posexplode(split).alias("position", "value"))
-    store_rows = streamer_columns(lines, keep=["source", "position"])
-    store_ticks = normalise_ticks(store_rows).select(*json_ticks.columns)
-    ticks = json_ticks.unionByName(store_ticks)
-    good = ticks.where(F.col("timestamp").isNotNull() & F.col("price").isNotNull())
-    counts = good.groupBy("source").agg(F.count(F.lit(1)).alias("record_count"))
-    blank = F.trim("content").isin("", "[]")
-    known = files.select("source", blank.alias("blank")).join(counts, "source", "left")
-    n = F.coalesce("record_count", F.lit(0).cast("bigint"))
-    status = F.when(n > 0, "success").when(F.col("blank"), "skipped").otherwise("error")
-    return good, known.select("source", n.alias("record_count"), status.alias("status"))
-
-
-def process_arrivals(
     spark: SparkSession,
     source: str,
-    features: str,
-    results: str,
+    target: str,
     checkpoint: str,
     *,
-    every: str | None = None,
-    per_file: bool = True,
+    rows: int = FLUSH_ROWS,
+    seconds: float | None = FLUSH_SECONDS,
+    every: str | None = "1 second",
+    lanes: int = 1,
 ) -> StreamingQuery:
-    """Compute tick features of each arriving file and append them to the feature
-    table, with one result row per file. ``per_file`` restarts the rolling state at
-    every file; without it state runs over the files of one batch."""
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        # Read the files once for the features and the results.
-        batch.persist()
-        try:
-            ticks, outcome = parse_arrivals(batch)
-            by = ["source", "symbol"] if per_file else ["symbol"]
-            order = ["timestamp", "position"] if per_file else ["timestamp", "source", "position"]
-            made = tick_features(ticks, by=by, order=order, plain=True).drop("position")
-            # Overwriting the batch's own folder makes a repeated batch harmless.
-            dated(made, "timestamp_dt").write.mode("overwrite").partitionBy("symbol", "date", "hour").parquet(
-                f"{features}/batch={batch_id}"
-            )
-            outcome.write.mode("overwrite").parquet(f"{results}/batch={batch_id}")
-        finally:
-            batch.unpersist()
-
-    writer = arrival_stream(spark, source).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    return writer.start()
+    """Write arriving messages to ``symbol=/date=/hour=`` JSON, with their ``batch`` and their
+    ``place`` in it. Each symbol has a buffer that is flushed at ``rows`` messages or
+    ``seconds`` after its first one; ``lanes`` gives a busy symbol several. With ``every`` None
+    the stream drains what has arrived and stops, so nothing waits. The file sink commits each
+    micro-batch once, so a failed flush is repeated and never doubled."""
+    require_state_store(spark)
+    messages = message_stream(spark, source)
+    lane = F.pmod(F.xxhash64(*messages.columns), F.lit(lanes)) if lanes > 1 else F.lit(0)
+    key = F.concat_ws("#", "symbol", lane.cast("string"))
+    flushed = batched(messages.withColumn("lane", lane.cast("int")), key, size=rows, seconds=seconds if every else None)
+    return stream_messages(flushed, target, checkpoint, every=every)
 
 
 # -- bars -----------------------------------------------------------------------------------
@@ -149,90 +96,6 @@ def stream_flow_bars(
     return bars.select(*by, F.col("__w.start").alias(ts), *[c for c in bars.columns if c not in {*by, "__w"}])
 
 
-# -- tick features with state ------------------------------------------------------------------
-
-_HISTORY = max(*TICK_WINDOWS, *TICK_LAGS, *FLOW_WINDOWS) + 1
-_TICK = {"at": "bigint", "tie": "bigint", "price": "double", "qty": "double", "side": "double"}
-_STATE = ", ".join(f"{part}_{c} array<{t}>" for part in ("old", "new") for c, t in _TICK.items())
-
-
-def tick_feature_schema() -> T.StructType:
-    names = ["price", "qty", "side", "return_1"]
-    for w in TICK_WINDOWS:
-        names += [f"price_ma_{w}", f"price_std_{w}", f"volume_sum_{w}", f"return_ma_{w}"]
-    for k in TICK_LAGS:
-        names += [f"price_lag_{k}", f"return_lag_{k}"]
-    names += [f"order_flow_{w}" for w in FLOW_WINDOWS]
-    head = [T.StructField("symbol", T.StringType()), T.StructField("at", T.LongType())]
-    return T.StructType(head + [T.StructField(n, T.DoubleType()) for n in names])
-
-
-def stream_tick_features(
-    ticks: DataFrame, *, delay: str = "10 seconds", ts: str = "ts", tie: str | None = None
-) -> DataFrame:
-    """Rolling and lag tick features of a stream, with state that runs on across
-    files and batches. Ticks wait until the watermark has passed them, so their
-    order is final; the state is the last few ticks and those still waiting.
-
-    ``tie`` names the whole-number column that orders ticks of equal time, such as a trade id.
-    Without it they are taken by price and quantity, so that a repeated batch agrees. Ticks
-    without a time have no place in a series and are left out."""
-
-    def update(key: tuple, frames: Iterator, state: GroupState) -> Iterator:
-        import pandas as pd
-
-        kinds = {n: "int64" if t == "bigint" else "float64" for n, t in _TICK.items()}
-        held = state.get if state.exists else [[]] * (2 * len(kinds))
-        old, new = (
-            pd.DataFrame({n: pd.Series(v, dtype=kinds[n]) for n, v in zip(kinds, part)})
-            for part in (held[: len(kinds)], held[len(kinds) :])
-        )
-        if not state.hasTimedOut:
-            new = pd.concat([new, *[f[list(kinds)] for f in frames]]).astype(kinds)
-        mark = state.getCurrentWatermarkMs() * 1000
-        ready = new[new["at"] <= mark].sort_values(["at", "tie", "price", "qty"], kind="stable")
-        wait = new[new["at"] > mark]
-        rows = pd.concat([old, ready], ignore_index=True)
-        if len(ready):
-            yield tick_rows(key[0], rows, len(old))
-        kept = rows.tail(_HISTORY)
-        state.update(tuple(part[n].tolist() for part in (kept, wait) for n in kinds))
-        if len(wait):
-            state.setTimeoutTimestamp(int(max(wait["at"].min() // 1000 + 1, mark // 1000 + 1)))
-
-    rows = ticks.where(F.col(ts).isNotNull()).withWatermark(ts, delay).select(
-        "symbol",
-        ts,
-        F.unix_micros(F.col(ts).cast("timestamp")).alias("at"),
-        F.coalesce(F.col(tie or ts).cast("bigint"), F.lit(0)).alias("tie"),
-        "price",
-        "qty",
-        F.col("trade_direction").cast("double").alias("side"),
-    )
-    return rows.groupBy("symbol").applyInPandasWithState(
-        update, tick_feature_schema(), _STATE, "append", GroupStateTimeout.EventTimeTimeout
-    )
-
-
-def tick_rows(symbol, rows, known: int):
-    """Features of the ticks after the first ``known`` ones, by the kernel of the batch operator."""
-    import numpy as np
-
-    price, qty, side = (np.ma.masked_invalid(rows[n].to_numpy()) for n in ("price", "qty", "side"))
-    # numpy masks a quotient by zero, which the batch operator makes NULL.
-    change = np.ma.concatenate([np.ma.masked_all(1), price[1:] / price[:-1] - 1])
-    series = {"price": price, "qty": qty, "return_1": change, "flow": side * qty}
-    wanted = {name: (*what, 0) for name, what in tick_statistics().items()}
-    # A lag is the sum over the one row so far back.
-    for k in TICK_LAGS:
-        wanted[f"price_lag_{k}"] = ("sum", "price", 1, k)
-        wanted[f"return_lag_{k}"] = ("sum", "return_1", 1, k)
-    out = rolling_table(series, wanted, min_periods=1).to_pandas().drop(columns="flow").iloc[known:]
-    out.insert(0, "symbol", symbol)
-    out = out.assign(at=rows["at"].iloc[known:].to_numpy(), side=rows["side"].iloc[known:].to_numpy())
-    return out[tick_feature_schema().fieldNames()]
-
-
 # -- dedup and segments ---------------------------------------------------------------------------
 
 
@@ -253,13 +116,54 @@ def stream_segments(
     )
 
 
-def dropped_rows(query: StreamingQuery) -> int:
-    """Rows dropped so far for being later than the watermark."""
-    return sum(
-        int(op["numRowsDroppedByWatermark"])
-        for progress in query.recentProgress
-        for op in progress["stateOperators"]
-    )
+# -- late rows ------------------------------------------------------------------------------
+
+
+class LateRows(StreamingQueryListener):
+    """Rows each query has dropped so far for being later than the watermark, from every
+    progress report and not only from the last hundred that a query remembers.
+
+    late = LateRows.watch(spark)   # before the query starts
+    late.total(query)
+    """
+
+    def __init__(self) -> None:
+        self._totals: dict[str, int] = defaultdict(int)
+        self._seen: dict[str, int] = defaultdict(lambda: -1)
+        self._lock = threading.Lock()
+
+    @classmethod
+    def watch(cls, spark: SparkSession) -> LateRows:
+        made = cls()
+        spark.streams.addListener(made)
+        return made
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        with self._lock:
+            run = str(progress.runId)
+            self._totals[run] += sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
+            self._seen[run] = max(self._seen[run], progress.batchId)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def total(self, query: StreamingQuery, timeout: float = 30.0) -> int:
+        """Waits until the last report of the query has come in, which it does a little later."""
+        run, last = str(query.runId), query.lastProgress
+        until = time.monotonic() + timeout
+        while last is not None and self._seen[run] < last["batchId"]:
+            if time.monotonic() > until:
+                raise TimeoutError("no progress report")
+            time.sleep(0.05)
+        with self._lock:
+            return self._totals[run]
 
 
 def run_available(
