@@ -1,32 +1,44 @@
-"""Exact quantiles with linear interpolation.
+"""Exact quantiles with linear interpolation, by radix selection.
 
-The built-in ``percentile`` keeps every distinct value of a group in one task. It is
-used while the table is small; beyond that the same numbers come from the range
-cells of ``Ordered``: exact cell counts say which cell holds each wanted position,
-and only those cells are looked at, one row per distinct value."""
+Doubles are read as 64-bit whole numbers that sort as they do. One pass counts the values of all
+columns by their highest 16 bits; the buckets that hold a wanted position are refined by the
+next bits, until few rows are left in them, which a last pass counts value by value. Nothing is
+sampled or sorted, a task holds one count per bucket, and the same law gives the result of a
+table of any size.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from math import ceil, floor
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickspark.operators.ordered import _CELL, Ordered
-from tickspark.session import chunk_rows, stage
+from tickspark.session import stage
+
+BITS = 16
+# Buckets that together hold no more rows than this are resolved to single values at once.
+FEW = 1 << 16
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list[float | None]]:
-    """Quantiles per column, NULL and NaN left out. Comes back as plain numbers:
-    one per column and probability."""
-    values = {c: _clean(c) for c in columns}
-    n = df.count()
-    if n <= chunk_rows(df.sparkSession):
-        picks = [F.percentile(v, list(map(float, probs))).alias(c) for c, v in values.items()]
-        row = df.agg(*picks).first()
-        return {c: list(row[c]) if row[c] is not None else [None] * len(probs) for c in columns}
-    return _from_cells(df.select(*[v.alias(c) for c, v in values.items()]), columns, probs)
+    """Quantiles per column, NULL and NaN left out. Comes back as plain numbers: one per column
+    and probability, None for a column without values."""
+    names = list(dict.fromkeys(columns))
+    probs = [float(p) for p in probs]
+    if any(not 0 <= p <= 1 for p in probs):
+        raise ValueError("a probability lies between 0 and 1")
+    # The values alone, written once: each pass reads them again.
+    values = stage(df.select(*[_clean(c).alias(f"c{i}") for i, c in enumerate(names)]))
+    shift, found = 64 - BITS, []
+    while True:
+        found = _buckets(values, len(names), shift, found, probs)
+        if shift == 0 or not found:
+            break
+        left = sum({(b["column"], b["digit"]): b["n"] for b in found}.values())
+        shift = 0 if left <= FEW else shift - BITS
+    return {c: _interpolated([b for b in found if b["column"] == i], probs) for i, c in enumerate(names)}
 
 
 def _clean(c: str) -> Column:
@@ -34,56 +46,82 @@ def _clean(c: str) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def _from_cells(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list[float | None]]:
-    spark = df.sparkSession
-    long = stage(df).unpivot([], list(columns), "feature", "value").where(F.col("value").isNotNull())
-    rows = Ordered(long, ["feature"], ["value"], plain=True)
-    sizes = {r["feature"]: r["n"] for r in long.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
-    cells = {c.key[0]: c for c in rows.cells}
-
-    # Which cell holds each position, and where the position lies inside it.
-    wanted = []
-    for name, n in sizes.items():
-        starts = cells[name].starts if name in cells else [0]
-        for p in probs:
-            at = p * (n - 1)
-            for position in {floor(at), ceil(at)}:
-                cell = max(i for i, s in enumerate(starts) if s <= position)
-                wanted.append((name, cell, position - starts[cell], position))
-    if not wanted:
-        return {c: [None] * len(probs) for c in columns}
-    # One row per column and probability.
-    ask = F.broadcast(
-        spark.createDataFrame(sorted(set(wanted)), "feature string, cell int, offset bigint, position bigint")
-    )
-    found = rows._with_cell(long) if rows.is_cut else long.withColumn(_CELL, F.lit(0))
-    found = found.withColumn("cell", F.coalesce(F.col(_CELL), F.lit(0)))
-    counts = (
-        found.join(ask.select("feature", "cell").distinct(), ["feature", "cell"], "left_semi")
-        .groupBy("feature", "cell", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    w = Window.partitionBy("feature", "cell").orderBy("value")
-    upto = F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    counts = counts.withColumn("upto", upto)
-    hit = counts.join(ask, ["feature", "cell"]).where(
-        (F.col("offset") < F.col("upto")) & (F.col("offset") >= F.col("upto") - F.col("n"))
-    )
-    at_position = {(r["feature"], r["position"]): r["value"] for r in hit.select("feature", "position", "value").collect()}
-
-    out: dict[str, list[float | None]] = {}
-    for name in columns:
-        n = sizes.get(name, 0)
-        picked: list[float | None] = []
-        for p in probs:
-            if n == 0:
-                picked.append(None)
-                continue
-            at = p * (n - 1)
-            lo, hi = at_position[name, floor(at)], at_position[name, ceil(at)]
-            # Equal neighbours and exact positions need no interpolation, which infinities spoil.
-            picked.append(lo if lo == hi or at == floor(at) else lo + (hi - lo) * (at - floor(at)))
-        out[name] = picked
+def _buckets(values: DataFrame, width: int, shift: int, above: list, probs: list[float]) -> list:
+    """Buckets (column, digit, before, n, total) that hold a wanted position, among the values
+    below the buckets ``above``: the digit is a value's number without its last ``shift`` bits,
+    before counts the smaller values. At most two rows per column and probability."""
+    spark = values.sparkSession
+    counted = values.mapInArrow(_count(width, shift, above), "column int, digit long, n long")
+    counts = counted.groupBy("column", "digit").agg(F.sum("n").alias("n"))
+    if above:
+        # At most two rows per column and probability.
+        parents = spark.createDataFrame(
+            [(b["column"], b["digit"], b["before"], b["total"], b["shift"]) for b in above],
+            "column int, parent long, offset long, total long, shift int",
+        )
+        parent = F.shiftright("digit", above[0]["shift"] - shift)
+        counts = counts.withColumn("parent", parent).join(F.broadcast(parents), ["column", "parent"])
+        within = Window.partitionBy("column", "parent")
+    else:
+        within = Window.partitionBy("column")
+        counts = counts.withColumn("offset", F.lit(0).cast("long")).withColumn("total", F.sum("n").over(within))
+    upto = F.sum("n").over(within.orderBy("digit").rowsBetween(Window.unboundedPreceding, 0))
+    counts = counts.withColumn("before", F.col("offset") + upto - F.col("n"))
+    places = [f(F.lit(p) * (F.col("total") - 1)) for p in probs for f in (F.floor, F.ceil)]
+    inside = F.exists(F.array(*places), lambda x: (x >= F.col("before")) & (x < F.col("before") + F.col("n")))
+    rows = counts.where(inside).select("column", "digit", "before", "n", "total").collect()
+    return [{**r.asDict(), "shift": shift} for r in rows]
+
+
+def _count(width: int, shift: int, above: list) -> Callable[[Iterator], Iterator]:
+    """Function that counts the values of a task by column and digit."""
+    wanted = [sorted({b["digit"] for b in above if b["column"] == i}) for i in range(width)]
+    higher = above[0]["shift"] if above else None
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        seen: list[tuple] = [(np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64))] * width
+        for batch in batches:
+            for i in range(width):
+                # Adding nothing turns -0.0 into 0.0.
+                x = batch.column(i).drop_null().to_numpy(zero_copy_only=False) + 0.0
+                bits = x.view(np.int64)
+                bits = np.where(bits < 0, bits ^ np.int64(2**63 - 1), bits)
+                if higher is not None:
+                    bits = bits[np.isin(bits >> higher, wanted[i])]
+                digit, n = np.unique(bits >> shift, return_counts=True)
+                both = np.concatenate([seen[i][0], digit])
+                new, where = np.unique(both, return_inverse=True)
+                total = np.zeros(len(new), dtype=np.int64)
+                np.add.at(total, where, np.concatenate([seen[i][1], n]))
+                seen[i] = (new, total)
+        for i, (digit, n) in enumerate(seen):
+            column = pa.array(np.full(len(digit), i), pa.int32())
+            yield pa.RecordBatch.from_arrays([column, pa.array(digit), pa.array(n)], names=["column", "digit", "n"])
+
+    return run
+
+
+def _interpolated(buckets: list, probs: list[float]) -> list[float | None]:
+    import numpy as np
+
+    if not buckets:
+        return [None] * len(probs)
+
+    def value(position: int) -> float:
+        digit = next(b["digit"] for b in buckets if b["before"] <= position < b["before"] + b["n"])
+        bits = digit ^ (2**63 - 1) if digit < 0 else digit
+        return float(np.array([bits], dtype=np.int64).view(np.float64)[0])
+
+    out: list[float | None] = []
+    for p in probs:
+        at = p * (buckets[0]["total"] - 1)
+        lo, hi, part = value(floor(at)), value(ceil(at)), at - floor(at)
+        # Weighed this way an infinite neighbour gives an infinity, and not a number only
+        # between the two infinities.
+        out.append(lo if lo == hi or part == 0 else lo * (1 - part) + hi * part)
     return out
 
 
