@@ -1,4 +1,4 @@
-"""Radix selection against sorting, whatever the number of passes."""
+"""Radix selection against sorting, whatever the number of passes; average ranks."""
 
 import math
 import random
@@ -71,3 +71,38 @@ def test_agrees_with_the_built_in(spark):
     df = spark.range(20000).selectExpr("(id * 7919 % 10007) / 3.0 - 1000 AS x")
     want = df.agg(F.percentile("x", PROBS)).first()[0]
     assert exact_quantiles(df, ["x"], PROBS)["x"] == pytest.approx(want)
+
+
+def brute_ranks(values):
+    order = sorted(values)
+    return [(2 * order.index(v) + order.count(v) + 1) / 2 for v in values]
+
+
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_average_ranks_across_ranges(spark, parts):
+    """One value fills most of a column, so its run goes over several ranges."""
+    from pyspark.sql import functions as F
+
+    from tickspark.operators.explore import average_ranks
+
+    hot = [5.0] * 150 + [float(i % 7) for i in range(60)]
+    rare = [random.Random(i).random() for i in range(210)]
+    same_ = [1.0] * 210
+    rows = list(zip(range(210), hot, rare, same_, [INF if i % 3 else -INF for i in range(210)]))
+    names = ["hot", "rare", "same", "far"]
+    df = spark.createDataFrame(rows, "row long, hot double, rare double, same double, far double").repartition(5)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "13")
+    try:
+        made = average_ranks(df, "row", names)
+        got = {(r["column"], r["row"]): r["rank"] for r in made.collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for at, name in enumerate(names, 1):
+        want = brute_ranks([r[at] for r in rows])
+        assert [got[name, k] for k in range(210)] == want, name
+    assert made.select(F.count("rank")).first()[0] == 840

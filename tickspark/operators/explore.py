@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickspark.functions.expr import div, numeric_columns
 from tickspark.operators.align import union_all
-from tickspark.operators.ordered import Ordered
 from tickspark.operators.quantiles import exact_quantiles
 from tickspark.operators.splits import systematic
+from tickspark.session import stage
 
 
 def target_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -61,23 +61,126 @@ def pearson(df: DataFrame, columns: Sequence[str], others: Sequence[str] | None
     return df.sparkSession.createDataFrame(table, "a string, b string, corr double")
 
 
-def with_average_rank(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Average rank of each value over the table. Ranks are made on the distinct
-    values and joined back."""
-    per_value = df.groupBy(column).agg(F.count(F.lit(1)).alias("__n")).where(F.col(column).isNotNull())
-    ranked = Ordered(per_value, [], [column]).running_sum(__upto=F.col("__n"))
-    rank = F.col("__upto") - F.col("__n") + (F.col("__n") + 1) / 2
-    return df.join(ranked.select(column, rank.alias(name)), column, "left")
+def average_ranks(df: DataFrame, row: str, columns: Sequence[str]) -> DataFrame:
+    """(row, column, rank): the average rank of every value in its column, for all columns at
+    once and with one shuffle. NULL and NaN have to be dropped before.
+
+    The values are sorted in ranges of (column, value, row), so that a column of any size and a
+    value that fills much of one are spread over many tasks. Each task numbers the runs of equal
+    values in its range; runs that touch its ends are joined with those of its neighbours
+    through a table of one row per range and column.
+    """
+    long = df.unpivot([row], list(columns), "column", "value")
+    ordered = long.repartitionByRange("column", "value", row).sortWithinPartitions("column", "value", row)
+    schema = f"part int, column string, `{row}` long, value double, first long, last long"
+    runs = stage(ordered.select("column", F.col(row).alias("row"), "value").mapInArrow(_runs(), schema))
+    spans = runs.groupBy("column", "part").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("value").alias("low"),
+        F.max("value").alias("high"),
+        (F.max(F.when(F.col("first") == 0, F.col("last"))) + 1).alias("head"),
+        F.max("first").alias("tail_at"),
+    )
+    earlier = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.withColumn("offset", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    heads = spans.select("column", F.col("low").alias("value"), F.col("offset").alias("at"), F.col("head").alias("size"))
+    tails = spans.where("tail_at > 0").select(
+        "column", F.col("high").alias("value"), (F.col("offset") + F.col("tail_at")).alias("at"), (F.col("n") - F.col("tail_at")).alias("size")
+    )
+    edges = heads.unionByName(tails).groupBy("column", "value").agg(F.min("at").alias("at"), F.sum("size").alias("size"))
+    edges = edges.select("column", "value", (F.col("at") + (F.col("size") + 1) / 2).alias("rank"))
+    # One row per range and column, and two values of each.
+    spans = spans.join(edges.select("column", F.col("value").alias("low"), F.col("rank").alias("head_rank")), ["column", "low"])
+    spans = spans.join(edges.select("column", F.col("value").alias("high"), F.col("rank").alias("tail_rank")), ["column", "high"])
+    marked = runs.join(F.broadcast(spans.select("column", "part", "n", "offset", "head_rank", "tail_rank")), ["column", "part"])
+    inner = F.col("offset") + (F.col("first") + F.col("last")) / 2 + 1
+    rank = F.when(F.col("first") == 0, F.col("head_rank")).when(F.col("last") == F.col("n") - 1, F.col("tail_rank"))
+    return marked.select(row, "column", rank.otherwise(inner).alias("rank"))
+
+
+def _runs() -> Callable[[Iterator], Iterator]:
+    """Function over the rows of a sorted range: the first and last place of each row's run of
+    equal values, by column. Beside one batch a task holds the rows of the run still open."""
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId()
+        open_rows: list = []  # row numbers of the last run
+        open_key, open_at = None, 0
+
+        def batch_of(column, rows, value, first, last):
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(len(rows), part), pa.int32()),
+                    pa.array([column] * len(rows), pa.string()),
+                    pa.array(rows, pa.int64()),
+                    pa.array(value, pa.float64()),
+                    pa.array(first, pa.int64()),
+                    pa.array(last, pa.int64()),
+                ],
+                names=["part", "column", "row", "value", "first", "last"],
+            )
+
+        def closed():
+            rows = np.concatenate(open_rows)
+            first, last = np.full(len(rows), open_at), np.full(len(rows), open_at + len(rows) - 1)
+            return batch_of(open_key[0], rows, np.full(len(rows), open_key[1]), first, last)
+
+        for batch in batches:
+            names = batch.column(0).dictionary_encode()
+            codes = names.indices.to_numpy(zero_copy_only=False)
+            rows = batch.column(1).to_numpy(zero_copy_only=False)
+            value = batch.column(2).to_numpy(zero_copy_only=False)
+            if not len(rows):
+                continue
+            new = np.ones(len(rows), dtype=bool)
+            new[1:] = (codes[1:] != codes[:-1]) | (value[1:] != value[:-1])
+            cuts = np.append(np.flatnonzero(new), len(rows))
+            for column in range(len(names.dictionary)):
+                name = names.dictionary[column].as_py()
+                here = np.flatnonzero(codes == column)
+                if not len(here):
+                    continue
+                lo, hi = int(here[0]), int(here[-1]) + 1
+                if open_key is None or open_key[0] != name:
+                    if open_key is not None:
+                        yield closed()
+                    open_key, open_rows, open_at = (name, value[lo]), [], 0
+                starts = cuts[(cuts >= lo) & (cuts < hi)]
+                ends = np.append(starts[1:], hi)
+                at = lo
+                if open_key[1] == value[lo]:  # the open run goes on
+                    open_rows.append(rows[lo : ends[0]])
+                    at = int(ends[0])
+                    starts, ends = starts[1:], ends[1:]
+                if len(starts):
+                    yield closed()
+                    inner = slice(at, int(starts[-1]))  # whole runs; the last one stays open
+                    base = open_at + sum(map(len, open_rows)) - at
+                    sizes = (ends - starts)[:-1]
+                    first = np.repeat(starts[:-1] + base, sizes)
+                    last = np.repeat(ends[:-1] - 1 + base, sizes)
+                    yield batch_of(name, rows[inner], value[inner], first, last)
+                    open_key, open_rows, open_at = (name, value[starts[-1]]), [rows[starts[-1] : hi]], int(starts[-1]) + base
+        if open_key is not None:
+            yield closed()
+
+    return run
 
 
 def spearman(df: DataFrame, columns: Sequence[str], others: Sequence[str] | None = None) -> DataFrame:
-    """(a, b, corr) of average ranks over the rows where every column has a value."""
+    """(a, b, corr) of average ranks over the rows where every column has a value. Two shuffles
+    of the values, whatever the number of columns: one to rank them, one to bring the ranks of
+    a row together."""
     names = list(dict.fromkeys([*columns, *(others or ())]))
-    ranked = df.select(*names).dropna()
-    for i, c in enumerate(names):
-        ranked = with_average_rank(ranked, c, f"__r{i}")
-    ranked = ranked.select(*[F.col(f"__r{i}").alias(c) for i, c in enumerate(names)])
-    return pearson(ranked, columns, others)
+    known = df.select(*[(F.col(c).cast("double") + 0.0).alias(c) for c in names]).dropna()
+    known = stage(known.withColumn("__row", F.monotonically_increasing_id()))
+    ranks = average_ranks(known, "__row", names)
+    picks = [F.max(F.when(F.col("column") == c, F.col("rank"))).alias(c) for c in names]
+    return pearson(ranks.groupBy("__row").agg(*picks), columns, others)
 
 
 def describe(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0.01, 0.5, 0.99)) -> DataFrame:

@@ -427,6 +427,19 @@ def spearman(v: Views):
     return explore.spearman(v.trades, ["price", "qty"])
 
 
+_RANKED = ["price", "qty", "l_partkey", "l_suppkey"]
+_RANKS = ", ".join(f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0::DOUBLE AS {c}" for c in _RANKED)
+_PAIRS = [(a, b) for i, a in enumerate(_RANKED) for b in _RANKED[i:]]
+
+
+@query(
+    f"WITH r AS (SELECT {_RANKS} FROM lines WHERE price IS NOT NULL AND qty IS NOT NULL AND l_partkey IS NOT NULL AND l_suppkey IS NOT NULL) "
+    + " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, R(corr({a}, {b})) AS corr FROM r" for a, b in _PAIRS)
+)
+def spearman_lines(v: Views):
+    return explore.spearman(v.lines, _RANKED)
+
+
 @query("""SELECT 'volume' AS a, 'close' AS b, R(corr(volume, close)) AS corr FROM flow UNION ALL
  SELECT 'volume', 'log_return', R(corr(volume, log_return)) FROM flow UNION ALL
  SELECT 'num_trades', 'close', R(corr(num_trades, close)) FROM flow UNION ALL
