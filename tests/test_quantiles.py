@@ -106,3 +106,37 @@ def test_average_ranks_across_ranges(spark, parts):
         want = brute_ranks([r[at] for r in rows])
         assert [got[name, k] for k in range(210)] == want, name
     assert made.select(F.count("rank")).first()[0] == 840
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_steps_between_times_of_many_ranges(spark, parts):
+    from collections import Counter
+
+    from tickspark.operators.quality import QualityRules, quality_report, step_counts
+
+    times = [7] * 60 + [3 * i for i in range(40)] + [1000, 5, -4] + [2**40]
+    df = spark.createDataFrame([(t, 1.0) for t in times] + [(None, 1.0)] * 2, "ts_ms long, x double").repartition(6)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r["dt"]: r["n"] for r in step_counts(df, "ts_ms").collect()}
+        row = quality_report(df, QualityRules(expected_dt=3), strict=False).first()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    times.sort()
+    steps = sorted(b - a for a, b in zip(times, times[1:]))
+    assert got == Counter(steps)
+    assert (row["ts_duplicates"], row["dt_min"], row["dt_max"]) == (steps.count(0) + 1, 0, steps[-1])
+    assert row["dt_median"] == brute(map(float, steps), [0.5])[0]
+    assert row["pct_dt_expected"] == pytest.approx(100 * steps.count(3) / len(steps))
+    empty = quality_report(df.limit(0), strict=False).first()
+    assert (empty["rows"], empty["dt_median"], empty["ts_duplicates"]) == (0, None, 0)
+
+
+def test_weighted_quantiles(spark):
+    rows = [(3.0, 2), (1.0, 5), (9.0, 0), (None, 4), (2.0, 1)]
+    df = spark.createDataFrame(rows, "x double, n long")
+    want = brute([1.0] * 5 + [2.0] + [3.0] * 2, PROBS)
+    assert exact_quantiles(df, ["x"], PROBS, weight="n")["x"] == want

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tickspark.functions.expr import interval_micros, micros, numeric_columns
@@ -13,6 +13,7 @@ from tickspark.operators.align import union_all
 from tickspark.operators.ordered import Ordered
 from tickspark.operators.quantiles import exact_quantiles
 from tickspark.operators.windows import forward_fill, gap_micros
+from tickspark.session import stage
 
 BOOK_PRICES = ("bid_px", "ask_px")
 BOOK_SIZES = ("bid_qty", "ask_qty", "vol_base")
@@ -188,7 +189,8 @@ def quality_report(
 ) -> DataFrame:
     """One row about a table with an integer time column: rows, time range,
     duplicates, step statistics and constant columns. ``strict`` raises on missing
-    columns, NULL or NaN, infinities and duplicate times."""
+    columns, NULL or NaN, infinities and duplicate times. The table is read twice, once for its
+    values and once for its times; ``plain`` is accepted and has no effect."""
     missing = [c for c in rules.required if c not in df.columns]
     if missing:
         raise ValueError(f"missing columns: {missing}")
@@ -205,29 +207,26 @@ def quality_report(
     null = any_of([F.col(c).isNull() for c in df.columns] + [F.isnan(c) for c in floats])
     inf = any_of([F.abs(c) == float("inf") for c in floats])
     others = [c for c in numeric if c != ts]
-    # Distinct times are counted through a pre-aggregation by time.
-    per_ts = df.groupBy(ts).agg(F.count(F.lit(1)).alias("n"))
-    counts = df.agg(
+    first = df.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(null).alias("rows_with_null"),
         F.count_if(F.coalesce(inf, F.lit(False))).alias("rows_with_inf"),
         F.min(ts).alias("ts_min"),
         F.max(ts).alias("ts_max"),
+        F.count_if(F.col(ts).isNull()).alias("no_ts"),
         _names({c: (F.min(c) == F.max(c)) & (F.count(c) == F.count(F.lit(1))) for c in others}, "constant_cols"),
         _names({c: F.stddev_samp(c) < rules.near_constant_std for c in others}, "near_constant_cols"),
-    )
-    dups = per_ts.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("ts_duplicates"))
-    steps = Ordered(df.select(ts), [], [ts], plain=plain).windows(
-        lambda d, w: d.withColumn("dt", F.col(ts) - F.lag(ts).over(w)), back=1
-    )
-    dt = steps.where(F.col("dt").isNotNull()).agg(
+    ).first()
+    steps = step_counts(df, ts)
+    n = F.sum("n")
+    step = steps.agg(
         F.min("dt").alias("dt_min"),
         F.max("dt").alias("dt_max"),
-        (100 * F.avg((F.col("dt") == rules.expected_dt).cast("double"))).alias("pct_dt_expected"),
-    )
-    median = exact_quantiles(steps, ["dt"], [0.5])["dt"][0]
-    first, step = counts.first(), dt.first()
-    n_dups = dups.first()["ts_duplicates"]
+        (100 * F.sum(F.when(F.col("dt") == rules.expected_dt, F.col("n")).otherwise(0)) / n).alias("pct_dt_expected"),
+        F.coalesce(F.sum(F.when(F.col("dt") == 0, F.col("n"))), F.lit(0)).alias("ts_duplicates"),
+    ).first()
+    median = exact_quantiles(steps, ["dt"], [0.5], weight="n")["dt"][0]
+    n_dups = step["ts_duplicates"] + max(0, first["no_ts"] - 1)
     if strict:
         if first["rows_with_null"]:
             raise ValueError("NULL or NaN values found")
@@ -253,6 +252,53 @@ def quality_report(
     return df.sparkSession.createDataFrame([row], schema)
 
 
+def step_counts(df: DataFrame, ts: str) -> DataFrame:
+    """(dt, n): how often each step occurs between a time and the next one, NULL times left out.
+
+    One sort: times are cut into ranges, each of which is summed up by its steps, its first and
+    its last time; the ranges are then joined at their ends. Equal times may be cut apart."""
+    times = df.select(F.col(ts).cast("bigint").alias("ts"), F.monotonically_increasing_id().alias("tie"))
+    ranged = times.where("ts IS NOT NULL").repartitionByRange("ts", "tie").sortWithinPartitions("ts", "tie")
+    parts = stage(ranged.select("ts").mapInArrow(_range_steps(), "first long, last long, dt long, n long"))
+    # One row per range. Ranges of one time only may agree in both ends: their steps are 0.
+    ends = parts.where("first IS NOT NULL")
+    between = F.col("first") - F.lag("last").over(Window.orderBy("first", "last"))
+    joints = ends.select(between.alias("dt"), F.lit(1).cast("bigint").alias("n")).where("dt IS NOT NULL")
+    return parts.where("dt IS NOT NULL").select("dt", "n").unionByName(joints).groupBy("dt").agg(F.sum("n").alias("n"))
+
+
+def _range_steps() -> Callable[[Iterator], Iterator]:
+    """Function over the sorted times of a range: (first, last) once, and (dt, n) per step."""
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        first = last = None
+        seen = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        for batch in batches:
+            times = batch.column(0).to_numpy(zero_copy_only=False)
+            if not len(times):
+                continue
+            if first is None:
+                first = int(times[0])
+                steps = np.diff(times)
+            else:
+                steps = np.diff(times, prepend=last)
+            last = int(times[-1])
+            dt, n = np.unique(steps, return_counts=True)
+            new, where = np.unique(np.concatenate([seen[0], dt]), return_inverse=True)
+            total = np.zeros(len(new), dtype=np.int64)
+            np.add.at(total, where, np.concatenate([seen[1], n]))
+            seen = new, total
+        if first is not None:
+            none = [None] * len(seen[0])
+            columns = ([first, *none], [last, *none], [None, *seen[0].tolist()], [None, *seen[1].tolist()])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["first", "last", "dt", "n"])
+
+    return run
+
+
 def _names(conditions: dict[str, Column], alias: str) -> Column:
     """The names whose condition holds."""
     if not conditions:

@@ -22,15 +22,19 @@ BITS = 16
 FEW = 1 << 16
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list[float | None]]:
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], *, weight: str | None = None
+) -> dict[str, list[float | None]]:
     """Quantiles per column, NULL and NaN left out. Comes back as plain numbers: one per column
-    and probability, None for a column without values."""
+    and probability, None for a column without values. ``weight`` names a whole-number column
+    that says how often each row counts."""
     names = list(dict.fromkeys(columns))
     probs = [float(p) for p in probs]
     if any(not 0 <= p <= 1 for p in probs):
         raise ValueError("a probability lies between 0 and 1")
     # The values alone, written once: each pass reads them again.
-    values = stage(df.select(*[_clean(c).alias(f"c{i}") for i, c in enumerate(names)]))
+    often = (F.col(weight) if weight else F.lit(1)).cast("bigint").alias("often")
+    values = stage(df.select(*[_clean(c).alias(f"c{i}") for i, c in enumerate(names)], often))
     shift, found = 64 - BITS, []
     while True:
         found = _buckets(values, len(names), shift, found, probs)
@@ -84,16 +88,18 @@ def _count(width: int, shift: int, above: list) -> Callable[[Iterator], Iterator
 
         seen: list[tuple] = [(np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64))] * width
         for batch in batches:
+            often = batch.column(width).to_numpy(zero_copy_only=False)
             for i in range(width):
+                known = batch.column(i).is_valid().to_numpy(zero_copy_only=False) & (often > 0)
                 # Adding nothing turns -0.0 into 0.0.
-                x = batch.column(i).drop_null().to_numpy(zero_copy_only=False) + 0.0
+                x = batch.column(i).fill_null(0.0).to_numpy(zero_copy_only=False)[known] + 0.0
                 bits = x.view(np.int64)
                 bits = np.where(bits < 0, bits ^ np.int64(2**63 - 1), bits)
+                n = often[known]
                 if higher is not None:
-                    bits = bits[np.isin(bits >> higher, wanted[i])]
-                digit, n = np.unique(bits >> shift, return_counts=True)
-                both = np.concatenate([seen[i][0], digit])
-                new, where = np.unique(both, return_inverse=True)
+                    inside = np.isin(bits >> higher, wanted[i])
+                    bits, n = bits[inside], n[inside]
+                new, where = np.unique(np.concatenate([seen[i][0], bits >> shift]), return_inverse=True)
                 total = np.zeros(len(new), dtype=np.int64)
                 np.add.at(total, where, np.concatenate([seen[i][1], n]))
                 seen[i] = (new, total)
