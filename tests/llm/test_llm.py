@@ -333,6 +333,71 @@ def test_main_text_beside_cards_and_in_named_frames():
     assert pages.main_text(featured).split("\n") == [*story, *story[:3]]
 
 
+STORY = [
+    "The river rose in the night, and by morning the bridge was gone.",
+    "Nobody in the village had seen such water; the old ones, asked twice, said so again.",
+    "Boats came from the town, first two, then ten, with bread, blankets and news.",
+    "It took three weeks, more or less, until the mill could turn its wheel again.",
+]
+LINKS = ["Home", "News", "Sport", "Weather", "Contact us"]
+
+
+def _plain_forms():
+    """Pages without HTML5 elements, classes or ids: only their ratios tell what is content."""
+    paragraphs = "".join(f"<p>{t}</p>" for t in STORY)
+    menu = "".join(f"<li><a href=x>{t}</a></li>" for t in LINKS)
+    foot = "<div>Copyright 2020. All rights reserved.</div>"
+    yield f"<body><ul>{menu}</ul><div>{paragraphs}</div>{foot}"
+    yield f"<body><div><ul>{menu}</ul></div><div><div>{paragraphs}</div></div>{foot}"
+    yield f"<table><tr><td><a>{'</a><br><a>'.join(LINKS)}</a></td></tr></table><table><tr><td>{paragraphs}</td></tr></table>{foot}"
+    yield f"<body>{paragraphs}<ul>{menu}</ul>{foot}".replace("<ul>", "<div><ul>").replace("</ul>", "</ul></div>")
+    yield f"<center><font>{' | '.join(LINKS)}</font></center><div>{''.join(f'<div>{t}</div>' for t in STORY)}</div><hr>{foot}"
+    yield f"<div>{'<br>'.join(LINKS)}</div><div><div><div>{paragraphs}</div></div></div><div>{foot}</div>"
+    yield f"<div><dl>{''.join(f'<dt>{t}' for t in LINKS)}</dl></div><div>{''.join(f'<p>{t}' for t in STORY)}</div><div>{foot}</div>"
+    yield f"<ol>{menu}</ol><div><blockquote>{paragraphs}</blockquote></div>{foot}"
+    yield f"<div><select><option>{'<option>'.join(LINKS)}</select></div><div>{paragraphs}</div><div><ul>{menu}</ul></div>{foot}"
+    yield f"<div><div><p>{'</p><p>'.join(LINKS)}</p></div></div><div>{paragraphs}</div>{foot}"
+
+
+@pytest.mark.parametrize("form", range(10))
+def test_main_text_without_any_marks(form):
+    assert pages.main_text(list(_plain_forms())[form]).split("\n") == STORY
+
+
+def test_main_text_comes_from_ratios(monkeypatch):
+    import pyarrow.parquet as pq
+
+    table = pq.read_table(f"{SF_DIR}/pages.parquet", columns=["html"]).column(0).to_pylist()
+    texts = [pages.main_text(page) for page in table]
+    unmarked = [re.sub(r' (class|id)="[^"]*"', "", re.sub(r"(</?)(article|nav|footer)\b", r"\1div", page)) for page in table]
+    same = sum(pages.main_text(page) == text for page, text in zip(unmarked, texts))
+    assert same >= 0.85 * len(table)
+    monkeypatch.setattr(pages, "_smooth", lambda values, stems: np.zeros(len(values)))
+    assert all(pages.main_text(page) == "" for page in table)
+
+
+def test_main_text_keeps_what_stands_in_the_container():
+    extra = "<h1>Flood</h1><ul><li>Rain</li><li>Wind</li></ul><table><tr><td>Level</td><td>9 m</td></tr></table><p>Short</p>"
+    page = f"<div>{extra}{''.join(f'<p>{t}</p>' for t in STORY)}<div class='share-box'>Send, share.</div></div><div>More, less.</div>"
+    assert pages.main_text(page).split("\n") == ["Flood", "Rain", "Wind", "Level", "9 m", "Short", *STORY]
+
+
+def test_main_text_of_broken_markup():
+    import time
+
+    assert pages.main_text('<p>One, two.<div class="a>Two.') == "One, two.\nTwo."
+    assert pages.main_text('<div class="a>Two, three.</div><p>Four, five.</p>') == "Two, three.\nFour, five."
+    assert pages.main_text("a < b, c <3 d") == "a < b, c <3 d"
+    assert pages.main_text('<p title="a > b" data-x=\'<b>\'>Text, more.</p>') == "Text, more."
+    assert pages.main_text("<p>Cut, off <a href=") == "Cut, off"
+    n = 50_000
+    broken = ['<a x ' * n + '"', '<a x="' * n + ">", "<div>" * n + "x" + "</p>" * n, "<" * n + "<!--" * n, '<div class="a>' * n, "<p '" * n]
+    for page in broken:
+        start = time.monotonic()
+        pages.main_text(page)
+        assert time.monotonic() - start < 10
+
+
 def test_pages_edges(spark):
     df = spark.createDataFrame([(1, None, None), (None, "u", "<p>Hello there.")], "page_id long, url string, html string")
     got = {r.page_id: (r.url, r.text, r.n_chars) for r in pages.extract(df.selectExpr("*", "1 AS text")).collect()}

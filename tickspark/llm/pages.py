@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Callable, Iterator
+from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +44,7 @@ APART_WORDS = {
     "skip", "social", "sponsor", "sponsored", "subscribe", "toolbar", "topbar", "widget",
 }
 DESCRIBING = {"has", "with", "no", "without", "js", "is", "show", "hide", "layout", "template"}
-# Of the words above those that name texts: their marks are never taken back.
+# Of the words above those that name texts: their marks are certain.
 PROSE = {
     "comment", "comments", "consent", "cookie", "cookies", "disclaimer", "disqus", "footer", "gdpr", "notice",
     "recommended", "related", "replies", "reply", "respond",
@@ -52,18 +53,25 @@ ARTICLE = {"article", "main"}
 ARTICLE_ROLES = {"main", "article"}
 ARTICLE_PROPS = {"articlebody"}
 
-# Short text blocks that belong to content blocks of the same parent.
-BESIDE = {"h1", "h2", "h3", "h4", "h5", "h6", "p", "li", "pre", "blockquote"}
-# Length times signs at which a path's ratio is one half; a block from there on is long text.
-HALF = 200.0
-# A good share of a page's long text, and most of it.
-GOOD, MOST = 0.25, 0.5
-# How an element is set apart: not at all, unless it holds most of the page's long text, always.
+# Elements that stand in a text: inside the content's container they belong to it whatever
+# their length.
+TEXT_PARTS = {
+    "blockquote", "dd", "details", "dl", "dt", "figure", "h1", "h2", "h3", "h4", "h5", "h6", "header", "li", "ol", "p",
+    "pre", "table", "ul",
+}
+# What a mark makes of a path's ratio: set apart, in doubt, within an article.
+WEIGHT_APART, WEIGHT_DOUBT, WEIGHT_ARTICLE = 0.02, 0.3, 1.5
+# A path is content from this part of the best score on; the container holds that part of what
+# is content; what lies outside of it has to hold that part of the largest element's text.
+CONTENT, CONTAINED, BESIDES = 0.2, 0.8, 0.2
+# How an element is set apart: not at all, perhaps, certainly.
 OPEN, DOUBTFUL, APART_FROM = 0, 1, 2
+# Elements nested deeper count as part of the one around them.
+DEPTH = 400
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^\s/>]*(?:\"[^\"]*\"|'[^']*'|[^>\"'])*(?:>|\Z)", re.DOTALL
-)
+TAG_START = re.compile(r"</?[a-zA-Z]")
+# The end of a tag, or a quote that opens a value.
+STOP = re.compile(r">|=\s*[\"']")
 NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
@@ -116,10 +124,53 @@ def _marks(name: str, tag: str) -> tuple[int, bool]:
 Element = tuple[str, int, bool, int]
 
 
+class _Scanner:
+    """The tags of a page, from front to back; no character is looked at more than a few times.
+
+    A quoted value ends at the next such quote, as in browsers. Where there is none the quote
+    means nothing, and the tag ends at the next ``>`` or with the page."""
+
+    def __init__(self, page: str) -> None:
+        self.page = page
+        self.lone: set[str] = set()  # quotes that do not come again
+
+    def next(self, at: int) -> tuple[int, int]:
+        """Start and end of the next tag, comment or declaration; both the length if none."""
+        page = self.page
+        while (start := page.find("<", at)) >= 0:
+            after = page[start + 1 : start + 2]
+            if after.isascii() and after.isalpha() or (after == "/" and TAG_START.match(page, start)):
+                return start, self._tag_end(start)
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                return start, len(page) if end < 0 else end + 3
+            if after in ("!", "?") and after:
+                end = page.find(">", start)
+                return start, len(page) if end < 0 else end + 1
+            at = start + 1
+        return len(page), len(page)
+
+    def _tag_end(self, at: int) -> int:
+        page = self.page
+        while found := STOP.search(page, at):
+            sign, at = found.group()[-1], found.end()
+            if sign == ">":
+                return at
+            if sign not in self.lone:
+                close = page.find(sign, at)
+                if close < 0:
+                    self.lone.add(sign)
+                else:
+                    at = close + 1
+        return len(page)
+
+
 def blocks(page: str) -> Iterator[tuple[str, tuple[Element, ...]]]:
     """The page's text blocks in order: (text, block elements around it from the root)."""
     stack: list[Element] = []
+    held: Counter = Counter()  # open elements by name
     parts: list[str] = []
+    scanner = _Scanner(page)
     at = 0
     muted, depth = "", 0  # inline element set apart whose text is passed over, and its nesting
 
@@ -130,15 +181,15 @@ def blocks(page: str) -> Iterator[tuple[str, tuple[Element, ...]]]:
             if text:
                 yield text, tuple(stack)
 
+    def cut(to: int) -> None:
+        held.subtract(s[0] for s in stack[to:])
+        del stack[to:]
+
     while at < len(page):
-        found = TOKEN.search(page, at)
-        if not found:
-            if not depth:
-                parts.append(page[at:])
-            break
-        if found.start() > at and not depth:
-            parts.append(page[at : found.start()])
-        tag, at = found.group(), found.end()
+        start, after = scanner.next(at)
+        if start > at and not depth:
+            parts.append(page[at:start])
+        tag, at = page[start:after], after
         named = NAME.match(tag)
         if not named:
             continue
@@ -166,114 +217,128 @@ def blocks(page: str) -> Iterator[tuple[str, tuple[Element, ...]]]:
         if name in VOID:
             continue
         if tag[1] == "/":
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    break
+            if held[name] > 0:
+                cut(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name))
             continue
         if name in CLOSES_P and stack and stack[-1][0] == "p":
-            stack.pop()
+            cut(len(stack) - 1)
         if stack and stack[-1][0] in CLOSED_BY.get(name, ()):
-            stack.pop()
+            cut(len(stack) - 1)
         if name == "body":
-            stack[:] = [s for s in stack if s[0] == "html"]
-        if not tag.endswith("/>"):
+            kept = [s for s in stack if s[0] == "html"]
+            cut(0)
+            stack.extend(kept)
+            held.update(s[0] for s in kept)
+        if not tag.endswith("/>") and len(stack) < DEPTH:
             stack.append((name, *_marks(name, tag), at))
+            held[name] += 1
     yield from end()
 
 
-def _is_apart(around: tuple[Element, ...], least: int, back: set[int]) -> bool:
-    """Whether a block is set apart by marks from ``least`` on, but those of ``back``."""
+def _weight(around: tuple[Element, ...]) -> float:
+    """What the marks around a block make of its path's ratio."""
     inside = [i for i, s in enumerate(around) if s[2]]
     first, last = (inside[0], inside[-1]) if inside else (len(around), -1)
-    # A form around the article is a page's frame; a header belongs to the article only inside of it.
-    return any(
-        (s[1] >= least and s[3] not in back and not (s[0] == "form" and i < last)) or (s[0] == "header" and i <= first)
-        for i, s in enumerate(around)
-    )
+    mark = OPEN
+    for i, (name, own, _, _) in enumerate(around):
+        # A form around the article is a page's frame; a header is the article's only inside of it.
+        if name == "form" and i < last:
+            continue
+        mark = max(mark, APART_FROM if name == "header" and i <= first else own)
+    return {OPEN: 1.0, DOUBTFUL: WEIGHT_DOUBT, APART_FROM: WEIGHT_APART}[mark] * (WEIGHT_ARTICLE if inside else 1.0)
 
 
-def _settle(found: list[tuple[str, tuple[Element, ...]]]) -> tuple[list[tuple[str, bool, bool]], bool]:
-    """Per block its tag path, whether it is set apart and whether it is in an article; and
-    whether the articles are the whole content.
+def _smooth(values: np.ndarray, stems: list[str]) -> np.ndarray:
+    """Each path's value, a quarter of it taken from the mean of the paths of the same parent."""
+    number = {stem: i for i, stem in enumerate(dict.fromkeys(stems))}
+    group = np.array([number[stem] for stem in stems], dtype=np.int64)
+    mean = np.bincount(group, weights=values) / np.bincount(group)
+    return 0.75 * values + 0.25 * mean[group]
 
-    What counts is the page's long text, blocks whose length times signs reaches ``HALF``. A
-    doubtful mark is taken back from an element that holds most of it, unless an article
-    elsewhere holds a good share. If text outside of articles holds a good share and no single
-    article holds most, only articles with a good share count, and not alone.
-    """
-    signs = [len(SIGNS.findall(text)) for text, _ in found]
-    mass = [len(t) if n and len(t) * (1 + n) >= HALF else 0 for (t, _), n in zip(found, signs)]
-    fixed = [_is_apart(around, APART_FROM, set()) for _, around in found]
-    total = sum(m for m, out in zip(mass, fixed) if not out)
-
-    def shares(out: list[bool], wanted: Callable[[Element], bool]) -> dict[int, float]:
-        """The share of the long text in each of the wanted elements."""
-        held: dict[int, float] = {}
-        for (_, around), m, o in zip(found, mass, out):
-            for s in around if m and not o else ():
-                if wanted(s):
-                    held[s[3]] = held.get(s[3], 0) + m / total
-        return held
-
-    apart = [_is_apart(around, DOUBTFUL, set()) for _, around in found]
-    if apart != fixed and total:
-        frames = {k for k, x in shares(fixed, lambda s: s[1] == DOUBTFUL).items() if x > MOST}
-        if frames and max(shares(apart, lambda s: s[2]).values(), default=0) < GOOD:
-            apart = [_is_apart(around, DOUBTFUL, frames) for _, around in found]
-    own = [any(s[2] for s in around) for _, around in found]
-    whole = True
-    articles = shares(apart, lambda s: s[2])
-    outside = sum(m for m, a, o in zip(mass, own, apart) if not a and not o)
-    if any(own) and outside and outside >= GOOD * total and max(articles.values(), default=0) <= MOST:
-        whole = False
-        good = {k for k, x in articles.items() if x >= GOOD}
-        own = [any(s[3] in good for s in around) for _, around in found]
-    paths = ("/".join(s[0] for s in around) for _, around in found)
-    return list(zip(paths, apart, own)), whole
+
+def _ratios(found: list[tuple[str, tuple[Element, ...]]], weights: list[float]) -> list[float]:
+    """Each block's fused tag-path ratio: between 0 and 1, relative to the page's best path
+    that is not set apart, times its weight."""
+    keys = [("/".join(s[0] for s in around), w) for (_, around), w in zip(found, weights)]
+    paths = list(dict.fromkeys(keys))
+    place = {p: i for i, p in enumerate(paths)}
+    length, signs = np.zeros(len(paths)), np.zeros(len(paths))
+    for key, (text, _) in zip(keys, found):
+        length[place[key]] += len(text)
+        signs[place[key]] += len(SIGNS.findall(text))
+    stems = [p.rpartition("/")[0] for p, _ in paths]
+    length, signs = _smooth(length, stems), _smooth(signs + 1, stems)
+    weight = np.array([w for _, w in paths])
+    free = weight >= WEIGHT_DOUBT
+    if not free.any() or not length[free].max() > 0:
+        return [0.0] * len(found)
+    fused = np.sqrt(np.minimum(length / length[free].max(), 1) * np.minimum(signs / signs[free].max(), 1)) * weight
+    return [float(fused[place[key]]) for key in keys]
 
 
 def main_text(page: str | None) -> str:
     """The article of a page, its blocks joined by line feeds; empty if there is none.
 
-    Text length and punctuation are added up per tag path from root to block. A path's ratio
-    is the mean length of its blocks times their mean number of signs, each smoothed with the
-    paths before and after it in page order, and brought between 0 and 1. It is fused with the
-    page's own structure: 1 more within an article, 2 less in what is set apart. Paths from
-    the threshold on are content: 1 if anything reaches it and the articles are the whole
-    content, else a fifth of the highest score but for the article's part of it. Then short
-    text blocks beside content blocks belong to them.
+    Text length and punctuation signs are added up per tag path from root to block, each
+    smoothed with the paths of the same parent and taken relative to the page's largest; their
+    geometric mean is the path's ratio. Marks of the page shift it: half more within an
+    article, less than a third where a class or id may set a part aside, a fiftieth in what is
+    set apart for certain. The blocks of paths from a fifth of the best ratio on are content.
+
+    The lowest element that holds most of the content is its container. What stands in it
+    beside the content, such as headings, lists and short paragraphs, belongs to it unless set
+    apart; content outside of it has to be a good part of the text.
     """
     found = list(blocks(page or ""))
     if not found:
         return ""
-    keys, whole = _settle(found)
-    paths = list(dict.fromkeys(keys))
-    place = {p: i for i, p in enumerate(paths)}
-    count, length, signs = (np.zeros(len(paths)) for _ in range(3))
-    for key, (text, _) in zip(keys, found):
-        i = place[key]
-        count[i] += 1
-        length[i] += len(text)
-        signs[i] += len(SIGNS.findall(text))
-    ratio = _smooth(length / count) * (1 + _smooth(signs / count))
-    score = ratio / (ratio + HALF) - np.array([2 * apart for _, apart, _ in paths])
-    fused = score + np.array([article for _, _, article in paths])
-    threshold = 1 if whole and fused.max() >= 1 else max(score.max() / 5, 0)
-    good = {p for p, s in zip(paths, fused) if s >= threshold}
-    stems = {p[0].rpartition("/")[0] for p in good} if threshold < 1 else set()
-
-    def content(key: tuple[str, bool, bool]) -> bool:
-        stem, _, leaf = key[0].rpartition("/")
-        return key in good or (not key[1] and leaf in BESIDE and stem in stems)
-
-    return "\n".join(text for key, (text, _) in zip(keys, found) if content(key))
-
-
-def _smooth(values: np.ndarray) -> np.ndarray:
-    """Each value with half the weight of its neighbours; the ends repeat."""
-    wide = np.concatenate((values[:1], values, values[-1:]))
-    return (wide[:-2] + 2 * wide[1:-1] + wide[2:]) / 4
+    weights = [_weight(around) for _, around in found]
+    scores = _ratios(found, weights)
+    best = max(scores)
+    if best <= 0:
+        return ""
+    seed = [score >= CONTENT * best for score in scores]
+    held: dict[int, int] = {}  # the content in each element
+    inside = [_elements(around) for _, around in found]
+    owner = [elements[-1][3] if elements else -1 for elements in inside]
+    own: dict[int, int] = {}
+    for (text, _), elements, is_seed, o in zip(found, inside, seed, owner):
+        if is_seed:
+            own[o] = own.get(o, 0) + len(text)
+            for s in elements:
+                held[s[3]] = held.get(s[3], 0) + len(text)
+    most = CONTAINED * sum(own.values())
+    largest = max(own.values())
+
+    def content(at: int) -> bool:
+        around = found[at][1]
+        depth = max((i for i, s in enumerate(around) if held.get(s[3], 0) >= most), default=-1)
+        if depth < 0 or any(held.get(s[3], 0) >= most for s in below.get(around[depth][3], ())):
+            return seed[at] and own.get(owner[at], 0) >= BESIDES * largest
+        rest = around[depth + 1 :]
+        if any(s[1] != OPEN for s in rest):
+            return False
+        if around[depth][0] in ("html", "body"):
+            return (seed[at] and own.get(owner[at], 0) >= BESIDES * largest) or (len(rest) == 1 and rest[0][0] in TEXT_PARTS)
+        if not rest or any(s[2] for s in around[: depth + 1]):
+            return True
+        return rest[0][0] in TEXT_PARTS or held.get(rest[0][3], 0) > 0
+
+    # Children that themselves hold most of the content: their parent is not the container.
+    below: dict[int, set[Element]] = {}
+    for _, around in found:
+        for outer, inner in zip(around, around[1:]):
+            if held.get(inner[3], 0) >= most:
+                below.setdefault(outer[3], set()).add(inner)
+    return "\n".join(text for at, (text, _) in enumerate(found) if content(at))
+
+
+def _elements(around: tuple[Element, ...]) -> tuple[Element, ...]:
+    """The elements that a block is a part of: without the paragraph, list or heading it is."""
+    to = len(around)
+    while to and around[to - 1][0] in TEXT_PARTS:
+        to -= 1
+    return around[:to]
 
 
 def extract(df: DataFrame, page: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
