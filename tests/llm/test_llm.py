@@ -284,6 +284,22 @@ def test_neighbours_edges(spark):
     assert neighbours.nearest(df.limit(0)).count() == 0
 
 
+def test_neighbours_of_repeated_ids(spark):
+    """No row is lost or left out but the query's own."""
+    rng = np.random.default_rng(2)
+    ids = [int(i) for i in rng.integers(0, 12, size=60)]
+    table = [(i, [float(x) for x in rng.integers(-3, 4, size=3)]) for i in ids] + [(1, [5.0, 0.0, 0.0]), (1, [2.0, 0.0, 0.0])]
+    table = [(i, v) for i, v in table if any(v)]
+    want = []
+    for at, (query, q) in enumerate(table):
+        if query % 4 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(q, v)), i) for j, (i, v) in enumerate(table) if j != at)
+            want += [(query, rank, i, -s) for rank, (s, i) in enumerate(scored[:7], 1)]
+    df = spark.createDataFrame(table, "vec_id long, embedding array<float>").repartition(3)
+    got = [tuple(r) for r in neighbours.nearest(df, k=7, every=4).collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_main_text():
     def simple(page):
         article = re.search(r"<article>(.*?)(?:</article>|\Z)", page, re.S)

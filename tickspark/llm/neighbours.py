@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickspark.session import stage
+
 # Queries and candidates that one group holds, and candidates of one tile within it.
 QUERY_ROWS = 1024
 CANDIDATE_ROWS = 8192
@@ -32,8 +34,9 @@ def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return total
 
 
-def tile_search(qid, q, cid, c, k: int) -> list[list[tuple[float, int]]]:
-    """For each query the heap of its k best (score, -id) among the candidates.
+def tile_search(qrow, q, crow, cid, c, k: int) -> list[list[tuple[float, int]]]:
+    """For each query the heap of its k best (score, -id) among the candidates, its own row
+    left out.
 
     A tile's int8 products are exact integers; scaled, they miss the true inner product by at
     most |x'||dy| + |dx||y|, where x' is the quantised query and dx, dy are rounding errors.
@@ -44,21 +47,22 @@ def tile_search(qid, q, cid, c, k: int) -> list[list[tuple[float, int]]]:
     # float holds int8 products exactly up to 1040 components, double always.
     kind = np.float32 if q.shape[1] <= 1024 else np.float64
     left = q8.astype(kind)
-    heaps: list[list[tuple[float, int]]] = [[] for _ in qid]
-    floor = np.full(len(qid), -np.inf)
+    heaps: list[list[tuple[float, int]]] = [[] for _ in qrow]
+    floor = np.full(len(qrow), -np.inf)
     for at in range(0, len(cid), TILE_ROWS):
         part, ids = c[at : at + TILE_ROWS], cid[at : at + TILE_ROWS]
+        other = qrow[:, None] != crow[None, at : at + TILE_ROWS]
         c8, cs, cn, ce = quantise(part)
         about = (left @ c8.astype(kind).T).astype(np.float64) * qs[:, None] * cs[None, :]
         error = qn[:, None] * ce[None, :] + qe[:, None] * (cn + ce)[None, :]
         error = error * (1 + 1e-6) + 1e-9 * qn[:, None] * cn[None, :]  # rounding of these sums themselves
-        low = np.where(qid[:, None] == ids[None, :], -np.inf, about - error)
+        low = np.where(other, about - error, -np.inf)
         if len(ids) > k:
             bound = np.partition(low, len(ids) - k, axis=1)[:, len(ids) - k]
         else:
-            bound = np.full(len(qid), -np.inf)
+            bound = np.full(len(qrow), -np.inf)
         bound = np.maximum(bound, floor)
-        i, j = np.nonzero((about + error >= bound[:, None]) & (qid[:, None] != ids[None, :]))
+        i, j = np.nonzero((about + error >= bound[:, None]) & other)
         exact = inner(q[i], part[j])
         for row, score, name in zip(i.tolist(), exact.tolist(), ids[j].tolist()):
             heap, item = heaps[row], (score, -name)
@@ -71,13 +75,11 @@ def tile_search(qid, q, cid, c, k: int) -> list[list[tuple[float, int]]]:
 
 
 def usable(df: DataFrame, key: str, vector: str) -> DataFrame:
-    """(id, v) with one row per id: vectors that are null, empty or zero, or hold a null or
-    non-finite component, and rows without an id take no part. Of several vectors under one id
-    the smallest counts."""
-    rows = df.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    """(id, v) of the rows that take part: those with an id and a vector that is not null, empty
+    or zero and holds no null or non-finite component."""
+    rows = df.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v"))
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = rows.filter(F.col("id").isNotNull() & F.col("v").isNotNull() & fine & F.exists("v", lambda x: x != 0))
-    return rows.groupBy("id").agg(F.min("v").alias("v"))
+    return rows.filter(F.col("id").isNotNull() & F.col("v").isNotNull() & fine & F.exists("v", lambda x: x != 0))
 
 
 def nearest(
@@ -86,8 +88,9 @@ def nearest(
     """The k candidates of largest inner product for each query: ``query_id``, ``rank`` from 1,
     ``vec_id``, ``score``. Queries are the rows whose key is divisible by ``every``,
     candidates all rows but the query's own, of the same number of components. Ties go to the
-    smaller key. A query without candidates, and an empty table, give no rows; extra columns
-    are left aside.
+    smaller key. Rows that repeat a key are vectors of their own: each of them is found, and
+    each is a query with ranks of its own. A query without candidates, and an empty table, give
+    no rows; extra columns are left aside.
 
     The result is exact: bounds only decide what has to be computed. Query blocks meet
     candidate blocks in a grid of groups of bounded size, dealt by hash, and each group keeps
@@ -95,44 +98,46 @@ def nearest(
     """
     if k < 1 or every < 1:
         raise ValueError("k and every have to be positive")
-    rows = usable(df, key, vector)
-    # Counts with a margin: keys that are filtered out later only make the blocks smaller.
-    sizes = df.agg(F.count("*"), F.count(F.when(F.col(key) % every == 0, 1))).first()
+    # Written once with numbers, which tell rows apart and stay the same when a task runs again.
+    rows = stage(usable(df, key, vector).withColumn("row", F.monotonically_increasing_id()))
+    sizes = rows.agg(F.count("*"), F.count(F.when(F.col("id") % every == 0, 1))).first()
     down = max(1, -(-sizes[1] // QUERY_ROWS))
     across = max(1, -(-sizes[0] // CANDIDATE_ROWS))
-    spread = F.xxhash64("id")
+    spread = F.xxhash64("row")
     rows = rows.withColumn("dim", F.size("v"))
+    v = F.col("v").cast("array<double>").alias("v")
 
     def every_of(blocks: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
 
     queries = rows.filter(F.col("id") % every == 0).select(
-        "dim", F.pmod(spread, F.lit(down)).cast("int").alias("r"), every_of(across).alias("c"), "id", "v"
+        "dim", F.pmod(spread, F.lit(down)).cast("int").alias("r"), every_of(across).alias("c"), "id", "row", v
     )
     candidates = rows.select(
-        "dim", every_of(down).alias("r"), F.pmod(spread, F.lit(across)).cast("int").alias("c"), "id", "v"
+        "dim", every_of(down).alias("r"), F.pmod(spread, F.lit(across)).cast("int").alias("c"), "id", "row", v
     )
 
-    def matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        ids = table.column("id").to_numpy()
+    def matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        ids, numbers = table.column("id").to_numpy(), table.column("row").to_numpy()
         flat = table.column("v").combine_chunks()
         flat = (pa.concat_arrays(flat.chunks) if isinstance(flat, pa.ChunkedArray) else flat).flatten().to_numpy()
-        return ids, flat.reshape(len(ids), -1)
+        return ids, numbers, flat.reshape(len(ids), -1)
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        out: list[tuple[int, int, float]] = []
+        out: list[tuple[int, int, int, float]] = []
         if left.num_rows and right.num_rows:
-            (qid, q), (cid, c) = matrix(left), matrix(right)
-            for name, heap in zip(qid.tolist(), tile_search(qid, q, cid, c, k)):
-                out += [(name, -other, score) for score, other in heap]
-        columns = list(zip(*out)) or [(), (), ()]
-        kinds = (pa.int64(), pa.int64(), pa.float64())
-        return pa.table({n: pa.array(x, t) for n, x, t in zip(("query_id", "vec_id", "score"), columns, kinds)})
+            (qid, qrow, q), (cid, crow, c) = matrix(left), matrix(right)
+            for name, number, heap in zip(qid.tolist(), qrow.tolist(), tile_search(qrow, q, crow, cid, c, k)):
+                out += [(name, number, -other, score) for score, other in heap]
+        columns = list(zip(*out)) or [(), (), (), ()]
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
+        names = ("query_id", "query_row", "vec_id", "score")
+        return pa.table({n: pa.array(x, t) for n, x, t in zip(names, columns, kinds)})
 
     grid_keys = ["dim", "r", "c"]
     found = queries.groupBy(*grid_keys).cogroup(candidates.groupBy(*grid_keys))
-    found = found.applyInArrow(search, "query_id long, vec_id long, score double")
+    found = found.applyInArrow(search, "query_id long, query_row long, vec_id long, score double")
     # Merging the groups' heaps: Spark keeps k rows per query before and after the shuffle.
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

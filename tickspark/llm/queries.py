@@ -121,16 +121,15 @@ def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE["op1_nearest"] = """
 WITH fine AS (
-  SELECT vec_id, min(embedding::DOUBLE[]) AS v FROM embeddings
+  SELECT vec_id, embedding::DOUBLE[] AS v, row_number() OVER () AS row FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     AND len(list_filter(embedding, lambda x: x <> 0)) > 0
-  GROUP BY vec_id
 ), pairs AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
-  FROM fine q JOIN fine c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  SELECT q.vec_id AS query_id, q.row, c.vec_id, list_inner_product(q.v, c.v) AS score
+  FROM fine q JOIN fine c ON q.vec_id % 20 = 0 AND q.row <> c.row AND len(q.v) = len(c.v)
 )
-SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+SELECT query_id, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
 FROM pairs QUALIFY rank <= 20
 """
 
