@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickspark.functions.expr import micros
-from tickspark.operators import bars, labels, models, splits, windows
+from tickspark.operators import bars, labels, metrics, models, splits, windows
 from tickspark.operators.align import fill_within, union_all
 from tickspark.plans import datasets
 from tickspark.session import stage
@@ -213,12 +213,12 @@ def training_sequences(v: Views):
 
 @query()
 def model_logistic(v: Views):
-    return datasets.experiment(_training(v), "logistic", max_iter=50)[1]
+    return datasets.experiment(_training(v), "logistic")[1]
 
 
 @query()
 def model_multinomial(v: Views):
-    return datasets.experiment(_training(v, "direction_3"), "logistic", max_iter=50)[1]
+    return datasets.experiment(_training(v, "direction_3"), "logistic")[1]
 
 
 @query()
@@ -238,7 +238,7 @@ def model_boosted(v: Views):
 
 @query()
 def model_importance(v: Views):
-    return datasets.experiment(_training(v), "logistic", max_iter=50)[0].importance(v.spark, 3)
+    return datasets.experiment(_training(v), "logistic")[0].importance(v.spark, 3)
 
 
 @query()
@@ -247,6 +247,26 @@ def model_per_symbol(v: Views):
     return models.per_symbol(data.df, data.features)
 
 
+@query("""WITH s AS (SELECT symbol, count(*) AS n, avg(qty) AS x, avg(price) AS y, sum(qty * price) AS xy, sum(qty * qty) AS xx FROM trades GROUP BY symbol),
+ w AS (SELECT symbol, (xy - n * x * y) / (xx - n * x * x + 1) AS slope, x, y FROM s)
+ SELECT symbol, R(slope) AS slope, R(y - slope * x) AS intercept FROM w""")
+def ridge_per_symbol(v: Views):
+    made = models.fit_symbols(v.trades, ["qty"], "price", "ridge").table
+    own = F.get("weights", F.lit(0))
+    return made.select("symbol", F.get(own, F.lit(0)).alias("slope"), F.get(own, F.lit(1)).alias("intercept"))
+
+
+@query("""WITH s AS (SELECT symbol, count(*) AS n, avg(qty) AS x, avg(price) AS y, sum(qty * price) AS xy, sum(qty * qty) AS xx FROM trades GROUP BY symbol),
+ w AS (SELECT symbol, (xy - n * x * y) / (xx - n * x * x + 1) AS slope, x, y FROM s),
+ p AS (SELECT symbol, price, slope * qty + y - slope * x AS said FROM trades JOIN w USING (symbol))
+ SELECT symbol, count(*) AS n, R(avg((price - said) ** 2)) AS mse, R(sqrt(avg((price - said) ** 2))) AS rmse, R(avg(abs(price - said))) AS mae,
+ R(1 - avg((price - said) ** 2) / var_pop(price)) AS r2, R(avg(CASE WHEN sign(price) = sign(said) THEN 1.0::DOUBLE ELSE 0 END)) AS directional_accuracy
+ FROM p GROUP BY symbol""")
+def ridge_scored(v: Views):
+    made = models.fit_symbols(v.trades, ["qty"], "price", "ridge")
+    return metrics.regression_metrics(made.score(v.trades), "price", "prediction", ["symbol"])
+
+
 # -- reports -----------------------------------------------------------------------------------
 
 
