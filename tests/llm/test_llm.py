@@ -463,6 +463,38 @@ def test_forward_sums_all_segmentations():
     assert np.isclose((uses * sizes).sum(), sum(map(len, words)))  # every character is used once
 
 
+def test_language_stage_rejects_what_is_in_no_language(spark, table):
+    """Clean documents stay, junk and languages never learned go, columns may clash."""
+    clean = [(k, t, lang) for k, t, lang in table if re.search(r"[^\W\d_]", t or "")]
+    junk = [(-1, "xkcd qwzx", "en"), (-2, "zzzz qqqq xxxx jjjj wwww kkkk", None), (-3, "12 9", "en"), (-4, None, "de")]
+    junk += [(-5, "\u042d\u0442\u043e \u0440\u0443\u0441\u0441\u043a\u0438\u0439 \u0442\u0435\u043a\u0441\u0442", None), (-6, "", "fr")]
+    df = spark.createDataFrame(clean + junk, "doc_id long, text string, lang string")
+    df = df.selectExpr("*", "'x' AS language", "1 AS language_", "2 AS fit").repartition(3)
+    kept = corpus_pipeline.known_language(spark, df, SF_DIR)
+    assert kept.columns == df.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(k for k, _, _ in clean)
+    assert corpus_pipeline.known_language(spark, df.limit(0), SF_DIR).count() == 0
+
+
+def test_identify_replaces_its_column(spark, docs, table):
+    model = language.fit(spark.createDataFrame(table, "doc_id long, text string, lang string"), model_path(PIECE_MODEL))
+    made = language.identify(model, docs)
+    assert made.columns == docs.columns
+    found = {r.doc_id: r.language for r in made.collect()}
+    assert found[3].fit is None and found[8].fit < 0 and found[8].lang_pred in model.languages
+
+
+def test_lines_of_a_long_text(spark):
+    """Removing many lines of one text takes time in proportion."""
+    import time
+
+    rows = [(1, "\n".join(["same"] * 60_000 + ["own"]), "s0")] + [(k, "same", f"s{k}") for k in range(2, 14)]
+    start = time.monotonic()
+    got = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in lines.drop_lines(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert got[1] == ("own", 60_001, 60_000) and got[2] == ("", 1, 1)
+    assert time.monotonic() - start < 60
+
+
 def test_pipeline(spark, table):
     got = corpus_pipeline.run(spark, SF_DIR).collect()
     fit_on = [k for k, t, _ in table if re.search(r"[^\W\d_]", t or "")]

@@ -8,6 +8,7 @@ training re-estimates the pieces from their expected counts over all segmentatio
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -15,7 +16,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tickspark.llm.arrays import slices
 from tickspark.llm.lattice import Edges, Pieces
@@ -175,7 +175,7 @@ def fit(
 
 
 def scorer(model: Model):
-    """A function from a list of texts to (predicted language, score) pairs."""
+    """A function from a list of texts to (predicted language, score, fit) triples."""
     pieces, unknown = vocabulary(model.path), len(vocabulary(model.path).text)
     known: dict[str, int] = {}
     table = np.zeros((REMEMBERED + 1, len(model.languages)))
@@ -194,7 +194,7 @@ def scorer(model: Model):
             table[base : base + to - at] = np.log(np.maximum(sums, 1e-300))
             at = to
 
-    def score(texts: list[str | None]) -> list[tuple[str, float]]:
+    def score(texts: list[str | None]) -> list[tuple[str, float, float | None]]:
         nonlocal table
         out = []
         split = [LETTERS.findall(t.lower()) if t else [] for t in texts]
@@ -209,38 +209,40 @@ def scorer(model: Model):
             learn(new)
             for words in part:
                 if not words or not model.languages:
-                    out.append((UNDETERMINED, 0.0))
+                    out.append((UNDETERMINED, 0.0, None))
                     continue
                 total = table[np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))].sum(axis=0)
                 best = int(total.argmax())
-                out.append((model.languages[best], float(1.0 / np.exp(total - total[best]).sum())))
+                sure = float(1.0 / np.exp(total - total[best]).sum())
+                out.append((model.languages[best], sure, float(total[best]) / sum(map(len, words))))
         return out
 
     return score
 
 
 def identify(model: Model, df: DataFrame, text: str = "text", out: str = "language") -> DataFrame:
-    """Add a struct column (``lang_pred``, ``score``): the language of highest probability, a
-    uniform prior assumed, and that probability. A text that is null or has no letter is
-    ``und`` with score 0. Ties go to the language first in the alphabet. Only the text is
-    used, whole; repeated rows are alike, an empty table gives no rows."""
+    """Add a struct column (``lang_pred``, ``score``, ``fit``): the language of highest
+    probability, a uniform prior assumed, that probability, and the logarithm of the text's
+    likelihood in that language per letter, which falls for texts of no language learned.
+
+    A text that is null or has no letter is ``und`` with score 0 and no fit. Ties go to the
+    language first in the alphabet. Only the text is used, whole; repeated rows are alike, an
+    empty table gives no rows. An existing column ``out`` is replaced, others stay."""
     # The vocabulary times the languages: its size does not depend on the table.
     shared = df.sparkSession.sparkContext.broadcast(model)
-    at = df.columns.index(text)
-    found = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    schema = T.StructType([*df.schema.fields, T.StructField(out, found)])
 
-    def run(batches):
+    def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         score = scorer(shared.value)
-        for whole in batches:
-            for batch in slices(whole, at):
-                found = score(batch.column(at).to_pylist())
-                names = pa.array([f[0] for f in found], pa.string())
-                scores = pa.array([f[1] for f in found], pa.float64())
-                both = pa.StructArray.from_arrays([names, scores], names=["lang_pred", "score"])
-                yield pa.RecordBatch.from_arrays([*batch.columns, both], names=[*batch.schema.names, out])
-
-    return df.mapInArrow(run, schema)
+        for texts in batches:
+            whole = pa.RecordBatch.from_arrays([texts], names=["text"])
+            rows = [row for part in slices(whole, 0) for row in score(part.column(0).to_pylist())]
+            columns = zip(*rows) if rows else ((), (), ())
+            arrays = [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.float64(), pa.float64()))]
+            yield pa.StructArray.from_arrays(arrays, names=["lang_pred", "score", "fit"])
+
+    # Marked so that a filter on the result does not make Spark work it out twice.
+    find = F.arrow_udf(found, "struct<lang_pred: string, score: double, fit: double>").asNondeterministic()
+    return df.withColumn(out, find(F.col(f"`{text}`").cast("string")))
 
 
 def held_out(key: Column) -> Column:

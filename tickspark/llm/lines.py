@@ -67,7 +67,9 @@ def drop_lines(
     joined = rows.withColumn("doc", mark).join(hit.withColumnRenamed("doc", "hit"), F.col("doc").eqNullSafe(F.col("hit")), "left")
     removed = F.coalesce("removed", F.array().cast("array<int>"))
     parts = F.split("body", "\n")
-    left = F.filter(parts, lambda line, i: ~F.array_contains(removed, i))
+    # Both steps go over the lines once, however many are removed.
+    stays = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), removed)
+    left = F.transform(stays, lambda i: F.get(parts, i))
     clean = F.when(F.col("removed").isNull(), F.col("body")).otherwise(F.array_join(left, "\n"))
     return joined.select(
         F.col("id").alias(key),
