@@ -240,7 +240,9 @@ def test_perspectives(spark):
         (None, None, None, "lost", "x"), (2, 0, "system", "alone", "x"),
     ]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, part string")
-    got = {(r.conv_id, r.part, r.perspective): r for r in chat.rotate(df).collect()}
+    whole = {(r.conv_id, r.part, r.perspective) for r in chat.rotate(df).collect()}
+    assert whole == {(1, 0, "ann"), (1, 0, "bob"), (None, 0, "unknown")}
+    got = {(r.conv_id, r.part, r.perspective): r for r in chat.rotate(df, turns=3).collect()}
     assert set(got) == {(1, 0, "ann"), (1, 0, "bob"), (1, 1, "ann"), (1, 1, "bob"), (None, 0, "unknown")}
     r = got[1, 0, "ann"]
     assert "<|im_start|>assistant\nHi<|im_end|>\n<|im_start|>user name=bob\n<|im_end|>\n" in r.rendered
@@ -249,26 +251,53 @@ def test_perspectives(spark):
     assert chat.rotate(df.limit(0)).count() == 0
 
 
-def test_perspectives_of_long_conversations(spark):
-    rows = [(1, 0, "system", "Rules"), (1, 300, "system", "More"), (1, 301, "system", "Rules")]
-    rows += [(1, i, ("ann", "bob")[i % 2], f"t{i:04}") for i in range(1, 700)]
-    rows += [(None, None, "ann", f"n{i:04}") for i in range(1000)] + [(None, None, "system", "Lost")]
-    rows += [(2, 5, "bob", "same")] * 600 + [(2, 0, "system", "Be brief"), (2, 400, "bob", "last")]
-    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
-    got = {(r.conv_id, r.part, r.perspective): r for r in chat.rotate(df).collect()}
-    start = "<|im_start|>system\n{}<|im_end|>\n".format
-    for (conv, part, name), r in got.items():
-        told = {1: ["Rules"] if part < 2 else ["Rules", "More"], 2: ["Be brief"], None: ["Lost"]}[conv]
-        assert start("Lost") in r.rendered if conv is None else r.rendered.startswith("".join(map(start, told)))
-        assert r.n_turns <= 256 + 2
+LONG_TALKS = [(1, 0, "system", "Rules"), (1, 300, "system", "More"), (1, 301, "system", "Rules")]
+LONG_TALKS += [(1, i, ("ann", "bob")[i % 2], f"t{i:04}") for i in range(1, 700)]
+LONG_TALKS += [(None, None, "ann", f"n{i:04}") for i in range(1000)] + [(None, None, "system", "Lost")]
+LONG_TALKS += [(2, 5, "bob", "same")] * 600 + [(2, 0, "system", "Be brief"), (2, 400, "bob", "last"), (2, None, None, None)]
+LONG_TALKS += [(3, i, "system", f"Rule {i}") for i in range(600)] + [(3, 900, "eve", "Well.")] + [(4, 9, "ann", "short")]
+
+
+def brute_perspectives(rows, turns):
+    """(conv, part, perspective) -> text, by sorting each conversation."""
+    talks = defaultdict(list)
+    for conv, turn, role, text in rows:
+        talks[conv].append((turn is not None, turn or 0, role or "unknown", text or ""))
+    out = {}
+    for conv, talk in talks.items():
+        talk.sort()
+        for at in range(0, len(talk), turns):
+            told = [m for m in talk[:at] if m[2] == "system"]
+            shown = told[:1] + told[1:][-1:] + talk[at : at + turns]
+            for name in {m[2] for m in talk} - {"system"}:
+                heads = {name: "assistant", "system": "system"}
+                text = "".join(f"<|im_start|>{heads.get(r, f'user name={r}')}\n{t}<|im_end|>\n" for _, _, r, t in shown)
+                out[conv, at // turns, name] = (text, len(shown))
+    return out
+
+
+@pytest.mark.parametrize("turns", [chat.TURNS, 7])
+def test_perspectives_of_long_conversations(spark, turns):
+    df = spark.createDataFrame(LONG_TALKS, "conv_id long, turn long, role string, text string").repartition(5)
+    rows = chat.rotate(df, turns=turns).collect()
+    got = {(r.conv_id, r.part, r.perspective): (r.rendered, r.n_turns) for r in rows}
+    assert len(rows) == len(got) and got == brute_perspectives(LONG_TALKS, turns)
+    for r in rows:
+        assert r.n_turns <= turns + 2 and r.n_chars == len(r.rendered)
         spans = [r.rendered[a : a + n] for a, n in zip(r.mask_starts, r.mask_lengths)]
-        assert len(spans) == r.rendered.count("<|im_start|>assistant") and r.n_chars == len(r.rendered)
-    for conv, name in ((1, "ann"), (1, "bob"), (2, "bob"), (None, "ann")):
-        parts = sorted((k[1], r.rendered) for k, r in got.items() if k[0] == conv and k[2] == name)
-        assert [p for p, _ in parts] == list(range(len(parts)))
-        spoken = re.findall(r"assistant\n(.*?)<", "".join(t for _, t in parts))
-        own = [r for r in rows if (r[0], r[2]) == (conv, name)]
-        assert spoken == [r[3] for r in sorted(own, key=lambda r: (r[1] or 0, r[3]))]
+        assert spans == [f"{t}<|im_end|>\n" for t in re.findall(r"<\|im_start\|>assistant\n(.*?)<\|im_end\|>", r.rendered)]
+        assert r.n_target == sum(map(len, spans))
+
+
+def test_perspectives_of_long_conversations_agree_with_sql(spark, tmp_path):
+    import duckdb
+    from workload.check import differences
+
+    df = spark.createDataFrame(LONG_TALKS, "conv_id long, turn long, role string, text string")
+    df.coalesce(1).write.parquet(str(tmp_path / "talks"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/talks/*.parquet')")
+    assert differences(chat.rotate(df), con, ORACLE["op5_perspectives"]) == []
 
 
 def test_neighbours_edges(spark):

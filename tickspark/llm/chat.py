@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickspark.llm.numbering import in_order
 from tickspark.session import stage
 
 # Markers of the rendered form.
 START, END = "<|im_start|>", "<|im_end|>\n"
 # Roles that give instructions: rendered under their own name, never as a perspective.
 SYSTEM = ("system",)
-# Turns of one rendered part: a part takes the turns of one run of so many turn numbers, or as
-# many of them, if null or repeated numbers make them more.
+# Turns of one rendered part.
 TURNS = 256
 
 
@@ -31,43 +31,31 @@ def rotate(
     Participants are the distinct roles but those of ``system``. In a rendering the
     perspective speaks as ``assistant``, all others as ``user name=<role>``, and system turns
     under their own name. The mask lists the character spans to learn from: the assistant's
-    texts with the closing marker. A conversation is rendered in parts of ``turns`` turn
-    numbers, so that one of any length is spread over many rows and tasks; short ones have the
-    single part 0. If null or repeated numbers give a part more turns than that, it is cut into
-    several, and the later parts are counted on. A perspective appears in every part, also
-    where it is silent. Every part starts with the different system turns of other parts that are
-    not later than its own turns, so that it never lacks its instructions; they count in
-    ``n_turns``.
-
-    Turns are in the order of turn, role and text; repeated turns stay. A null turn comes
-    first, in part 0; a null role is the participant ``unknown``; a null text is empty; rows of
-    a null conversation form one conversation. Conversations of system turns only give no
-    rows, nor does an empty table. Other columns are left aside.
+    texts with the closing marker.
+
+    The turns of a conversation, in the order of turn, role and text, are rendered in parts of
+    ``turns`` turns, so that one of any length is spread over many rows and tasks; most have
+    the single part 0. A perspective appears in every part, also where it is silent. Every part
+    but the first starts with the conversation's first system turn before it and, if that is
+    another one, its latest, so that it does not lack its instructions; they count in
+    ``n_turns``, which is thus ``turns`` + 2 at most.
+
+    Repeated turns stay. A null turn comes first; a null role is the participant ``unknown``; a
+    null text is empty; rows of a null conversation form one conversation. Conversations of
+    system turns only give no rows, nor does an empty table. Other columns are left aside.
     """
     names = F.coalesce(F.col(role).cast("string"), F.lit("unknown"))
+    conv = F.col(conversation)
     rows = df.select(
-        F.col(conversation).alias("conv_id"),
-        F.coalesce(F.floor(F.col(turn) / turns), F.lit(0)).cast("long").alias("part"),
+        conv.alias("conv_id"),
+        # The conversation as a text that is never null.
+        F.when(conv.isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), conv.cast("string"))).alias("tree"),
         F.col(turn).cast("long").alias("turn"),
         names.alias("role"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
-    rows = cut(rows, turns)
     speakers = rows.filter(~F.col("role").isin(*system)).select("conv_id", F.col("role").alias("perspective")).distinct()
-    parts = rows.groupBy("conv_id", "part").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
-    told = rows.filter(F.col("role").isin(*system)).groupBy(F.col("conv_id").alias("own"), "role", "text")
-    told = told.agg(F.min(F.struct("part", "turn")).alias("first"))
-    # A null turn comes before any other; of turns with equal numbers none is later than another.
-    first, least = (F.coalesce(F.col(c), F.lit(-(1 << 63))) for c in ("first.turn", "turn"))
-    earlier = F.col("conv_id").eqNullSafe(F.col("own")) & (F.col("first.part") != F.col("part")) & (first <= F.col("least"))
-    heads = rows.groupBy("conv_id", "part").agg(F.min(least).alias("least")).join(told, earlier)
-    heads = heads.groupBy(F.col("conv_id").alias("own"), F.col("part").alias("at")).agg(
-        F.sort_array(F.collect_list(F.struct("first.turn", "first.part", "role", "text"))).alias("told")
-    )
-    parts = parts.join(heads, F.col("conv_id").eqNullSafe(F.col("own")) & (F.col("part") == F.col("at")), "left")
-    again = F.transform("told", lambda m: F.struct(m["turn"].alias("turn"), m["role"].alias("role"), m["text"].alias("text")))
-    whole = F.when(F.col("told").isNull(), F.col("turns")).otherwise(F.concat(again, F.col("turns")))
-    parts = parts.select("conv_id", "part", whole.alias("turns"))
+    parts = _parts(rows, system, turns)
     speakers = speakers.withColumnRenamed("conv_id", "own")
     seen = parts.join(speakers, F.col("conv_id").eqNullSafe(F.col("own")))
 
@@ -111,36 +99,36 @@ def rotate(
     )
 
 
-def cut(rows: DataFrame, turns: int) -> DataFrame:
-    """The rows (conv_id, part, turn, role, text) with parts of more than ``turns`` rows cut
-    into several by row number, in the order of turn, role and text; later parts are counted on.
+def _parts(rows: DataFrame, system: tuple[str, ...], turns: int) -> DataFrame:
+    """(conv_id, part, turns): the turns of each part, with what later parts repeat before them.
 
-    The rows are dealt over ranges of that order, which split a conversation, turn or text of
-    any number of rows; a row's number is its number in its range plus the rows of the part's
-    earlier ranges.
+    Conversations of one part need no numbers. The others' turns are numbered in ranges of
+    their order, so that one of any number of turns is handled by many tasks.
     """
-    sizes = rows.groupBy("conv_id", "part").count()
-    if not sizes.filter(F.col("count") > turns).limit(1).count():
-        return rows
-    spark = rows.sparkSession
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = ["turn", "role", "text"]
-    dealt = rows.withColumn("_tie", F.monotonically_increasing_id())
-    dealt = dealt.repartitionByRange(ranges, "conv_id", "part", *order, "_tie").withColumn("_range", F.spark_partition_id())
-    dealt = stage(dealt.drop("_tie"))
-    counts = dealt.groupBy("conv_id", "part", "_range").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("conv_id", "part").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    # Parts that the earlier ones of the conversation have more than their turn numbers give.
-    sizes = dealt.groupBy("conv_id", "part").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    more = F.sum(F.ceil(F.col("_n") / turns) - 1).over(before)
-    sizes = sizes.select(F.col("conv_id").alias("_conv"), F.col("part").alias("_part"), F.coalesce(more, F.lit(0)).alias("_more"))
-    counts = counts.join(sizes, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("part") == F.col("_part")))
-    counts = counts.select("_conv", "_part", F.col("_range").alias("_at"), "_before", "_more")
-    inside = Window.partitionBy("conv_id", "part", "_range").orderBy(*order)
-    dealt = dealt.withColumn("_row", F.row_number().over(inside))
-    own = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("part") == F.col("_part")) & (F.col("_range") == F.col("_at"))
-    number = F.floor((F.col("_before") + F.col("_row") - 1) / turns)
-    part = (F.col("part") + F.col("_more") + number).cast("long")
-    return dealt.join(counts, own).select("conv_id", part.alias("part"), *order)
+    turn = F.struct("turn", "role", "text")
+    listed = F.sort_array(F.collect_list(turn)).alias("turns")
+    long = stage(rows.groupBy("tree").count().filter(F.col("count") > turns).select("tree"))
+    if not long.limit(1).count():
+        return rows.groupBy("conv_id").agg(listed).select("conv_id", F.lit(0).cast("long").alias("part"), "turns")
+    short = rows.join(long, "tree", "left_anti").groupBy("conv_id").agg(listed)
+    short = short.select("conv_id", F.lit(0).cast("long").alias("part"), "turns")
+
+    crowded = rows.join(long, "tree", "left_semi").withColumn("tie", F.monotonically_increasing_id())
+    # Written once, so that the numbers of equal turns stay the same.
+    crowded = stage(in_order(stage(crowded), ["turn", "role", "text", "tie"]).drop("tie", "n"))
+    crowded = crowded.withColumn("part", F.floor(F.col("i") / turns).cast("long"))
+    own = crowded.groupBy("conv_id", "tree", "part").agg(listed)
+    told = F.when(F.col("role").isin(*system), F.struct("i", "turn", "role", "text"))
+    # One row per part, with its first and last system turn.
+    told = crowded.groupBy("tree", "part").agg(F.min(told).alias("first"), F.max(told).alias("last"))
+    earlier = Window.partitionBy("tree").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    told = told.select("tree", "part", F.min("first").over(earlier).alias("first"), F.max("last").over(earlier).alias("last"))
+
+    def again(name: str) -> Column:
+        return F.struct(*[F.col(f"{name}.{c}").alias(c) for c in ("turn", "role", "text")])
+
+    other = F.col("first.i") != F.col("last.i")
+    head = F.when(other, F.array(again("first"), again("last"))).when(F.col("first").isNotNull(), F.array(again("first")))
+    own = own.join(told.select("tree", "part", head.alias("head")), ["tree", "part"])
+    whole = F.when(F.col("head").isNull(), F.col("turns")).otherwise(F.concat("head", "turns"))
+    return short.unionByName(own.select("conv_id", "part", whole.alias("turns")))

@@ -19,18 +19,15 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickspark.llm.numbering import in_order
 from tickspark.session import stage
 
 SEGMENT_LEVELS = 12
 _DIGEST = 32
 
-# Rows per partition and its number, as monotonically_increasing_id packs them.
-_ROW_BITS = 33
-
-
 def digest(*parts: bytes) -> bytes:
     """SHA-256 of the hexadecimal texts of some digests, one after the other."""
     return hashlib.sha256(b"".join(p.hex().encode() for p in parts)).digest()
@@ -98,28 +95,6 @@ def _leaf(columns: list[Column]) -> Column:
     return F.unhex(F.sha2(F.encode(F.concat(*parts), "UTF-8"), 256))
 
 
-def in_order(rows: DataFrame, order: list[str]) -> DataFrame:
-    """Add ``i``, the place of a row within its ``tree`` in the given order, and ``n``, the
-    tree's number of rows. Rows are cut into ranges of (tree, order), so a tree of any size is
-    sorted by many tasks; equal rows have to differ in a last column of ``order`` to be parted.
-    """
-    ranged = rows.repartitionByRange("tree", *order).sortWithinPartitions("tree", *order)
-    ranged = stage(ranged.withColumn("_at", F.monotonically_increasing_id()))
-    part = F.shiftright("_at", _ROW_BITS).alias("_part")
-    ranged = ranged.select("*", part, F.col("_at").bitwiseAND((1 << _ROW_BITS) - 1).alias("_row"))
-    spans = ranged.groupBy("tree", "_part").agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
-    earlier = Window.partitionBy("tree").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("tree")
-    spans = spans.select(
-        "tree",
-        "_part",
-        (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
-        F.sum("_n").over(whole).alias("n"),
-    )
-    numbered = ranged.join(spans, ["tree", "_part"])
-    return numbered.withColumn("i", F.col("_row") + F.col("_shift")).drop("_at", "_part", "_row", "_shift")
-
-
 def _node(nodes: bytes, at: int) -> bytes:
     return nodes[at * _DIGEST : (at + 1) * _DIGEST]
 

@@ -150,9 +150,16 @@ FROM documents d LEFT JOIN hit h ON d.doc_id IS NOT DISTINCT FROM h.doc_id AND d
 """
 
 ORACLE["op5_perspectives"] = f"""
-WITH r AS (
-  SELECT conv_id, coalesce(floor(turn / {chat.TURNS}), 0)::BIGINT AS part, turn, coalesce(role, 'unknown') AS role,
-    coalesce(text, '') AS text FROM conversations
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id
+    ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'), coalesce(text, '')) - 1 AS i FROM conversations
+), pieces AS (SELECT DISTINCT conv_id, i // {chat.TURNS} AS part FROM t),
+told AS (
+  SELECT s.conv_id, s.part, min(t.i) AS first, max(t.i) AS last FROM pieces s
+  JOIN t ON t.conv_id IS NOT DISTINCT FROM s.conv_id AND t.role = 'system' AND t.i < s.part * {chat.TURNS} GROUP BY s.conv_id, s.part
+), r AS (
+  SELECT conv_id, i // {chat.TURNS} AS part, i, role, text FROM t UNION ALL
+  SELECT t.conv_id, h.part, i, role, text FROM told h JOIN t ON t.conv_id IS NOT DISTINCT FROM h.conv_id AND t.i IN (h.first, h.last)
 ), p AS (SELECT DISTINCT conv_id, role AS perspective FROM r WHERE role <> 'system'),
 m AS (
   SELECT r.*, perspective, CASE WHEN role = perspective THEN '{chat.START}assistant' WHEN role = 'system'
@@ -161,10 +168,10 @@ m AS (
   FROM r JOIN p ON r.conv_id IS NOT DISTINCT FROM p.conv_id
 ), n AS (
   SELECT *, coalesce(sum(length(head) + length(body)) OVER (PARTITION BY conv_id, part, perspective
-    ORDER BY turn NULLS FIRST, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS place FROM m
+    ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS place FROM m
 )
 SELECT conv_id, part, perspective, count(*)::INTEGER AS n_turns,
-  string_agg(head || body, '' ORDER BY turn NULLS FIRST, role, text) AS rendered,
+  string_agg(head || body, '' ORDER BY i) AS rendered,
   sum(length(head) + length(body))::INTEGER AS n_chars,
   coalesce(list(place::INTEGER ORDER BY place) FILTER (WHERE role = perspective), CAST([] AS INTEGER[])) AS mask_starts,
   coalesce(list(length(body)::INTEGER ORDER BY place) FILTER (WHERE role = perspective), CAST([] AS INTEGER[])) AS mask_lengths,
