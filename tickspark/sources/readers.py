@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tickspark import schemas
 from tickspark.functions.expr import EPS_BARS, div, epoch_to_ts, ln, parse_ts, snapshot_features
+from tickspark.session import stage
 
 CORRUPT = "_corrupt_record"
 LINES_PER_BATCH = 50_000
@@ -196,13 +197,36 @@ def read_book(
     skip_rows: int = 0,
     time_col: str = "ts_ms",
 ) -> DataFrame:
-    """``.store`` files of a configured layout; rows with any NULL are dropped and
-    ``ts`` is the UTC time. ``skip_rows``: 1 leaves out the first line of every file, which
-    ``header`` does as well; more lines cannot be told apart from data and are refused."""
-    if skip_rows + header > 1:
-        raise ValueError("at most one leading line per file can be left out")
-    reader = spark.read.schema(schema).option("sep", delimiter).option("header", header or skip_rows > 0)
-    return reader.csv(path).dropna().withColumn("ts", F.timestamp_millis(time_col))
+    """``.store`` files of a configured layout; rows with any NULL are dropped and ``ts`` is the
+    UTC time. The first ``skip_rows`` lines of every file are left out, and then a ``header``."""
+    leading = skip_rows + header
+    if leading <= 1:
+        reader = spark.read.schema(schema).option("sep", delimiter).option("header", leading > 0)
+        rows = reader.csv(path)
+    else:
+        cells = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        row = F.from_csv("value", cells, {"sep": delimiter})
+        rows = _lines_after(spark, path, leading).select(row.alias("row")).select("row.*")
+    return rows.dropna().withColumn("ts", F.timestamp_millis(time_col))
+
+
+# Files whose first lines are sent to every task.
+MOST_FILES = 50_000
+
+
+def _lines_after(spark: SparkSession, path: str | Sequence[str], leading: int) -> DataFrame:
+    """The lines of text files without the first ``leading`` ones of each."""
+    lines = spark.read.text(path if isinstance(path, str) else list(path)).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("at"),
+        "value",
+        # Consecutive within a split of a file; only the split at 0 holds the first lines.
+        F.monotonically_increasing_id().alias("n"),
+    )
+    firsts = lines.where("at = 0").groupBy("file").agg(F.min("n").alias("first"))
+    firsts = F.broadcast(firsts) if firsts.count() <= MOST_FILES else firsts
+    numbered = lines.join(firsts, "file", "left")
+    return numbered.where((F.col("at") > 0) | (F.col("n") - F.col("first") >= leading)).select("value")
 
 
 def read_streamer_snapshots(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -313,7 +337,7 @@ def read_features(
 ) -> DataFrame:
     """Feature parquet below ``root/symbol/date/hour/`` for an inclusive date range
     or the last ``days_back`` days. Only the folders of those dates are listed;
-    unreadable files are skipped. Without a schema it is taken from one file, which
+    unreadable files are skipped; ``file_ledger`` lists them. Without a schema it is taken from one file, which
     has to be readable."""
     end = end or today or dt.date.today()
     start = start or end - dt.timedelta(days=days_back)
@@ -365,6 +389,55 @@ def read_local_features(spark: SparkSession, root: str, symbols: Sequence[str])
     return out
 
 
+def file_ledger(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
+    """(file, bytes, rows, rows_read, status, error): what became of every Parquet file below a
+    path, since the readers here pass over what they cannot read.
+
+    ``rows`` is what the file's footer says, ``rows_read`` what could be decoded of all columns.
+    ``status`` is ``read``, ``cut short`` where some rows are missing, or ``unread`` for a file
+    that gave no footer, with the ``error``. Reads every column once; only files without a
+    footer are then looked at one by one.
+    """
+
+    def option(reader):
+        return reader.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+
+    file = F.col("_metadata.file_path").alias("file")
+    listed = option(spark.read.format("binaryFile")).load(path).select(file, F.col("length").alias("bytes"))
+    listed = stage(listed)
+    schema = _first_schema(spark, listed)
+    if schema is None:
+        stated, decoded = (spark.createDataFrame([], f"file string, {c} long") for c in ("rows", "rows_read"))
+    else:
+        found = option(spark.read.schema(schema).option("ignoreCorruptFiles", "true")).parquet(path)
+        stated = found.select(file).groupBy("file").agg(F.count(F.lit(1)).alias("rows"))
+        # The hash makes Spark decode every column of the rows it counts; it is written with them.
+        whole = found.select(file, F.xxhash64(*[F.col(f"`{c}`") for c in found.columns]).alias("h"))
+        decoded = whole.groupBy("file").agg(F.count("h").alias("rows_read"), F.bit_xor("h").alias("h"))
+    known = stage(listed.join(stated, "file", "left").join(decoded, "file", "left"))
+    errors = []
+    for row in known.where("rows IS NULL").select("file").toLocalIterator():
+        try:
+            spark.read.parquet(row["file"]).limit(1).collect()
+        except Exception as why:  # whatever the file's fault is, it is reported
+            errors.append((row["file"], " ".join(str(why).split())[:500]))
+    failed = spark.createDataFrame(errors, "file string, error string")
+    rows, read = (F.coalesce(c, F.lit(0).cast("bigint")) for c in ("rows", "rows_read"))
+    status = F.when(F.col("error").isNotNull(), "unread").when(read < rows, "cut short").otherwise("read")
+    out = known.join(failed, "file", "left")
+    return out.select("file", "bytes", rows.alias("rows"), read.alias("rows_read"), status.alias("status"), "error")
+
+
+def _first_schema(spark: SparkSession, listed: DataFrame) -> T.StructType | None:
+    """The schema of the first file that tells one."""
+    for row in listed.select("file").toLocalIterator():
+        try:
+            return spark.read.parquet(row["file"]).schema
+        except Exception:  # reported by the ledger
+            continue
+    return None
+
+
 def read_split(spark: SparkSession, path: str, split: str = "train") -> DataFrame:
     """One split of a dataset written by ``write_splits``."""
     return spark.read.parquet(path).where(F.col("split") == split)
