@@ -39,6 +39,14 @@ def test_forward_and_nearest(sides):
     assert joined(sides, direction="nearest") == {0: (1.0, "a"), 1: (1.0, "a"), 2: (None, "b"), 3: (3.0, "c"), 9: (None, None)}
 
 
+def test_no_direction_reads_to_the_end_for_every_row(sides):
+    left, right = sides
+    made = [align.asof_join(left, right, direction=d) for d in ("backward", "forward", "nearest", "exact")]
+    made.append(align.fill_within(left, right, 60))
+    for out in made:
+        assert "unboundedfollowing" not in out._jdf.queryExecution().toString().lower()
+
+
 def test_exact_and_tolerance(sides):
     assert joined(sides, direction="exact")[1] == (1.0, "a")
     assert joined(sides, direction="exact")[2] == (None, None)

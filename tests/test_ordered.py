@@ -90,6 +90,18 @@ def test_running_values(ticks, small_ranges):
     pd.testing.assert_series_equal(nxt, by["y"].transform(lambda v: v.bfill()), check_names=False)
 
 
+@pytest.mark.parametrize("chunk", [40, 2000])
+def test_value_ahead_in_one_pass(spark, chunk):
+    """No frame ends at the last row: Spark goes through such a frame anew for every row."""
+    rows = [("S", None if i < 3 else i // 2, i, float(i) if i % 7 == 3 else None) for i in range(400)] + [("T", 1, 0, None)]
+    df = spark.createDataFrame(rows, "symbol string, ts bigint, id bigint, y double")
+    out = Ordered(df, ["symbol"], ["ts", "id"], limit=chunk).last_known(ahead=True, k=F.col("y"))
+    assert "unboundedfollowing" not in out._jdf.queryExecution().toString().lower()
+    got = {(r["symbol"], r["id"]): r["k"] for r in out.collect()}
+    want = {("S", i): next((float(j) for j in range(i, 400) if j % 7 == 3), None) for i in range(400)}
+    assert got == {**want, ("T", 0): None}
+
+
 def test_one_global_order(ticks, small_ranges):
     o = Ordered(ticks, [], ["id"])
     assert o.is_cut

@@ -314,16 +314,21 @@ class Ordered:
         return out.drop(_RANGE, *[f"__carry_{n}" for n in sums])
 
     def last_known(self, *, ahead: bool = False, **values: Column) -> DataFrame:
-        """Latest non-NULL value at or before each row (``ahead``: at or after)."""
-        pick = F.first if ahead else F.last
-        if ahead:
-            lo, hi = 0, Window.unboundedFollowing
-        else:
-            lo, hi = Window.unboundedPreceding, 0
+        """Latest non-NULL value at or before each row (``ahead``: at or after).
+
+        Ahead means back in the reversed order: Spark keeps a frame that begins at the first
+        row as it goes on, but goes through one that ends at the last row again for every row.
+        """
+        turn = F.desc if ahead else F.asc
+
+        def latest(c: Column | str, spec: WindowSpec, end: int = 0) -> Column:
+            return F.last(c, ignorenulls=True).over(spec.rowsBetween(Window.unboundedPreceding, end))
+
+        order = [turn(c) for c in self.order]
         if not self.is_cut:
-            w = Window.partitionBy(*self.keys).orderBy(*self.order).rowsBetween(lo, hi)
-            return self.df.withColumns({n: pick(c, ignorenulls=True).over(w) for n, c in values.items()})
-        spec = Window.partitionBy(*self.keys, _RANGE).orderBy(*self.order).rowsBetween(lo, hi)
+            w = Window.partitionBy(*self.keys).orderBy(*order)
+            return self.df.withColumns({n: latest(c, w) for n, c in values.items()})
+        spec = Window.partitionBy(*self.keys, _RANGE).orderBy(*order)
         base = self.assigned().drop(_START, _TOTAL)
         edge = F.min_by if ahead else F.max_by
         here = F.struct(*self.order)
@@ -333,18 +338,14 @@ class Ordered:
                 for n, c in values.items()
             ]
         )
-        across = Window.partitionBy(*self.keys).orderBy(_RANGE)
-        if ahead:
-            across = across.rowsBetween(1, Window.unboundedFollowing)
-        else:
-            across = across.rowsBetween(Window.unboundedPreceding, -1)
+        across = Window.partitionBy(*self.keys).orderBy(turn(_RANGE))
         carry = self._per_range(per_range).withColumns(
-            {f"__carry_{n}": pick(f"__carry_{n}", ignorenulls=True).over(across) for n in values}
+            {f"__carry_{n}": latest(f"__carry_{n}", across, -1) for n in values}
         )
         out = self._range_join(base, carry)
         out = out.withColumns(
             {
-                n: F.coalesce(pick(c, ignorenulls=True).over(spec), F.col(f"__carry_{n}"))
+                n: F.coalesce(latest(c, spec), F.col(f"__carry_{n}"))
                 for n, c in values.items()
             }
         )
