@@ -108,6 +108,46 @@ def test_average_ranks_across_ranges(spark, parts):
     assert made.select(F.count("rank")).first()[0] == 840
 
 
+def test_tasks_of_ranks_follow_the_number_of_values(spark, monkeypatch):
+    """However large the table, a task sorts, numbers and brings together about RANKED values."""
+    from tickspark.operators import explore
+
+    staged, dealt, stage, pearson = [], [], explore.stage, explore.pearson
+    monkeypatch.setattr(explore, "RANKED", 100, raising=False)
+    monkeypatch.setattr(explore, "stage", lambda df: staged.append(stage(df)) or staged[-1])
+    monkeypatch.setattr(explore, "pearson", lambda df, *args: dealt.append(df) or pearson(df, *args))
+    rows = [(5.0 if i % 4 else float(i % 7), random.Random(i).random()) for i in range(1000)] + [(None, 1.0)]
+    got = explore.spearman(spark.createDataFrame(rows, "hot double, rare double").repartition(3), ["hot", "rare"])
+    ranks = [brute_ranks([r[i] for r in rows[:-1]]) for i in (0, 1)]
+    mean = [sum(x) / 1000 for x in ranks]
+    moment = {(i, j): sum((a - mean[i]) * (b - mean[j]) for a, b in zip(ranks[i], ranks[j])) for i in (0, 1) for j in (0, 1)}
+    want = moment[0, 1] / (moment[0, 0] * moment[1, 1]) ** 0.5
+    assert [r["corr"] for r in got.collect()] == pytest.approx([1.0, want, 1.0])
+    sizes = [r["count"] for r in staged[1].groupBy("part").count().collect()]
+    assert sum(sizes) == 2000 and max(sizes) < 250
+    assert dealt[0].rdd.getNumPartitions() == 20
+
+
+def test_a_run_is_written_in_batches_of_the_sizes_read(spark, monkeypatch):
+    """A value that fills a range does not come out as one batch."""
+    import pyarrow as pa
+    import pyspark
+
+    from tickspark.operators.explore import _runs
+
+    class Context:
+        get = staticmethod(lambda: Context)
+        partitionId = staticmethod(lambda: 3)
+
+    monkeypatch.setattr(pyspark, "TaskContext", Context)
+    parts = [pa.record_batch({"column": ["x"] * 10, "row": list(range(k, k + 10)), "value": [1.0] * 10}) for k in range(0, 500, 10)]
+    parts.append(pa.record_batch({"column": ["x", "y"], "row": [500, 0], "value": [2.0, 2.0]}))
+    out = list(_runs()(iter(parts)))
+    assert max(b.num_rows for b in out) <= 10
+    rows = [(r["column"], r["row"], r["first"], r["last"]) for b in out for r in b.to_pylist()]
+    assert rows == [("x", i, 0, 499) for i in range(500)] + [("x", 500, 500, 500), ("y", 0, 0, 0)]
+
+
 @pytest.mark.parametrize("parts", [1, 5])
 def test_steps_between_times_of_many_ranges(spark, parts):
     from collections import Counter

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,6 +14,9 @@ from tickspark.operators.quantiles import exact_quantiles
 from tickspark.operators.splits import systematic
 from tickspark.session import stage
 
+# Values one task sorts or brings together for ranks, whatever the size of the table.
+RANKED = 500_000
+
 
 def target_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, mean, std, min, max, q01, q50, q99) of each target."""
@@ -68,10 +72,12 @@ def average_ranks(df: DataFrame, row: str, columns: Sequence[str]) -> DataFrame:
     The values are sorted in ranges of (column, value, row), so that a column of any size and a
     value that fills much of one are spread over many tasks. Each task numbers the runs of equal
     values in its range; runs that touch its ends are joined with those of its neighbours
-    through a table of one row per range and column.
+    through a table of one row per range and column. The number of ranges follows the number of
+    values, so that a task's memory does not.
     """
     long = df.unpivot([row], list(columns), "column", "value")
-    ordered = long.repartitionByRange("column", "value", row).sortWithinPartitions("column", "value", row)
+    order = ["column", "value", row]
+    ordered = long.repartitionByRange(*_tasks(df, columns), *order).sortWithinPartitions(*order)
     schema = f"part int, column string, `{row}` long, value double, first long, last long"
     runs = stage(ordered.select("column", F.col(row).alias("row"), "value").mapInArrow(_runs(), schema))
     spans = runs.groupBy("column", "part").agg(
@@ -98,6 +104,12 @@ def average_ranks(df: DataFrame, row: str, columns: Sequence[str]) -> DataFrame:
     return marked.select(row, "column", rank.otherwise(inner).alias("rank"))
 
 
+def _tasks(df: DataFrame, columns: Sequence[str]) -> list[int]:
+    """Number of tasks for the values of the columns; none given where they fit one."""
+    tasks = ceil(df.count() * len(columns) / RANKED)
+    return [tasks] if tasks > 1 else []
+
+
 def _runs() -> Callable[[Iterator], Iterator]:
     """Function over the rows of a sorted range: the first and last place of each row's run of
     equal values, by column. Beside one batch a task holds the rows of the run still open."""
@@ -125,9 +137,10 @@ def _runs() -> Callable[[Iterator], Iterator]:
             )
 
         def closed():
-            rows = np.concatenate(open_rows)
-            first, last = np.full(len(rows), open_at), np.full(len(rows), open_at + len(rows) - 1)
-            return batch_of(open_key[0], rows, np.full(len(rows), open_key[1]), first, last)
+            last_at = open_at + sum(map(len, open_rows)) - 1
+            for rows in open_rows:  # batches no larger than those that came in
+                first, last = np.full(len(rows), open_at), np.full(len(rows), last_at)
+                yield batch_of(open_key[0], rows, np.full(len(rows), open_key[1]), first, last)
 
         for batch in batches:
             names = batch.column(0).dictionary_encode()
@@ -147,7 +160,7 @@ def _runs() -> Callable[[Iterator], Iterator]:
                 lo, hi = int(here[0]), int(here[-1]) + 1
                 if open_key is None or open_key[0] != name:
                     if open_key is not None:
-                        yield closed()
+                        yield from closed()
                     open_key, open_rows, open_at = (name, value[lo]), [], 0
                 starts = cuts[(cuts >= lo) & (cuts < hi)]
                 ends = np.append(starts[1:], hi)
@@ -157,7 +170,7 @@ def _runs() -> Callable[[Iterator], Iterator]:
                     at = int(ends[0])
                     starts, ends = starts[1:], ends[1:]
                 if len(starts):
-                    yield closed()
+                    yield from closed()
                     inner = slice(at, int(starts[-1]))  # whole runs; the last one stays open
                     base = open_at + sum(map(len, open_rows)) - at
                     sizes = (ends - starts)[:-1]
@@ -166,7 +179,7 @@ def _runs() -> Callable[[Iterator], Iterator]:
                     yield batch_of(name, rows[inner], value[inner], first, last)
                     open_key, open_rows, open_at = (name, value[starts[-1]]), [rows[starts[-1] : hi]], int(starts[-1]) + base
         if open_key is not None:
-            yield closed()
+            yield from closed()
 
     return run
 
@@ -180,7 +193,10 @@ def spearman(df: DataFrame, columns: Sequence[str], others: Sequence[str] | None
     known = stage(known.withColumn("__row", F.monotonically_increasing_id()))
     ranks = average_ranks(known, "__row", names)
     picks = [F.max(F.when(F.col("column") == c, F.col("rank"))).alias(c) for c in names]
-    return pearson(ranks.groupBy("__row").agg(*picks), columns, others)
+    # Dealt by row before they are summed up: a range holds a row's values once at most, so summing
+    # up before the shuffle would keep all rows of a range and gain nothing.
+    dealt = ranks.repartition(*_tasks(known, names), "__row")
+    return pearson(dealt.groupBy("__row").agg(*picks), columns, others)
 
 
 def describe(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0.01, 0.5, 0.99)) -> DataFrame:
