@@ -155,6 +155,22 @@ def test_filter_finds_all_repeats(spark):
     assert sum(not r["max(again)"] for r in rows) > 2000
 
 
+def test_ids_are_learnt_by_part():
+    """A part is learnt once, whatever its case and the signs beside it; ids stay the tokenizer's."""
+    encode = packing.WordIds(model_path(WORD_MODEL))
+    list(encode(["Word, WORD word", "wOrd (word) WORD,"]))
+    assert set(encode.known) == {"word", ",", "(", ")"}
+    texts = [t for _, t, *_ in TEXTS] + [
+        "It's DON'T we'll, 3rd--x,y;z", "foo\xa0BAR baz's\x0bqux  Straße,ŒUVRE", "a\x1cb c\x1f 'S", "İx ŉ ſ Σας ΣΑΣ", "e\u0301a E\u0301, \u0301z",
+        "a <|endoftext|> B", "x<|startoftext|>y,z", "漢字 and,漢 字's", "-- '' , \u200b", "42 4x2, A1B2!!",
+    ]
+    encode.forget()
+    got = list(encode(texts))
+    want = [encode.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert got == [np.array(ids, dtype="<u4").tobytes() for ids in want]
+    assert got == list(encode(texts))
+
+
 def check_packing(rows, got, capacity):
     from tokenizers import Tokenizer
 

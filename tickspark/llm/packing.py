@@ -16,16 +16,16 @@ from tickspark.llm.numbering import hash52, number
 from tickspark.session import stage
 
 CAPACITY = 4096
-# Words whose ids a task remembers; beyond it the memory is emptied and filled anew.
-REMEMBERED = 400_000
+# Parts of texts whose ids a task remembers; beyond it the memory is emptied and filled anew.
+REMEMBERED = 600_000
 
 
 class WordIds:
-    """Ids of whole texts by a ``tokenizers`` file, remembering the ids of words.
+    """Ids of whole texts by a ``tokenizers`` file, remembering the ids of their parts.
 
     White space separates tokens in this vocabulary, so a text's ids are those of its
     white-space-separated runs one after the other. In runs of plain characters, each stretch
-    of letters and each stretch of signs is in turn encoded for itself.
+    of letters and each stretch of signs is in turn encoded for itself, in lower case.
     """
 
     # Characters whose class is beyond doubt in any edition of Unicode; no apostrophe, which
@@ -38,11 +38,11 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
-        self.stretches: dict[str, bytes] = {}
-        self.plain = re.compile(rf"[{self.LETTERS}{self.SIGNS} \t\n\r]*")
+        plain, space = self.LETTERS + self.SIGNS, r" \t\n\r"
         self.parts = re.compile(rf"[{self.LETTERS}]+|[{self.SIGNS}]+")
-        self.runs = re.compile(r"[^ \t\n\r]+")
-        self.control = re.compile(r"[\x1c-\x1f]")
+        self.odd = re.compile(rf"[^{plain}{space}]")
+        # A run with other than plain characters, from its beginning to its end.
+        self.odd_run = re.compile(rf"(?<![^{space}])([{plain}]*+[^{plain}{space}][^{space}]*+)")
         # Strings of special tokens are matched before a text is cut.
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         size = self.tokenizer.get_vocab_size()
@@ -53,43 +53,53 @@ class WordIds:
         for text in texts:
             text = text or ""
             if any(s in text for s in self.special):
-                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+                yield self.encode(text).tobytes()
                 continue
-            # split() also cuts at four control characters that are no white space here.
-            words = self.runs.findall(text) if self.control.search(text) else text.split()
+            parts = self.cut(text)
             try:
-                yield b"".join(map(self.known.__getitem__, words))
+                yield b"".join(map(self.known.__getitem__, parts))
             except KeyError:
-                self.learn(set(words))
-                yield b"".join(map(self.known.__getitem__, words))
+                self.learn(set(parts))
+                yield b"".join(map(self.known.__getitem__, parts))
+
+    def cut(self, text: str) -> list[str]:
+        """Plain stretches in lower case, and runs with other characters as they are."""
+        if not self.odd.search(text):
+            return self.parts.findall(text.lower())
+        parts = []
+        for i, piece in enumerate(self.odd_run.split(text)):
+            if i % 2:
+                parts.append(piece)
+            else:
+                parts += self.parts.findall(piece.lower())
+        return parts
+
+    def encode(self, text: str) -> np.ndarray:
+        # Without the places of the tokens in the text, which nobody reads.
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
     def forget(self) -> None:
         self.known.clear()
-        self.stretches.clear()
 
-    def learn(self, words: set[str]) -> None:
-        for memory in (self.known, self.stretches):
-            if len(memory) + len(words) > REMEMBERED:
-                memory.clear()
+    def learn(self, parts: set[str]) -> None:
+        if len(self.known) + len(parts) > REMEMBERED:
+            self.known.clear()
+        new = parts.difference(self.known)
         plain = []
-        for word in words.difference(self.known):
-            if self.plain.fullmatch(word):
-                plain.append((word, self.parts.findall(word.lower())))
+        for part in new:
+            if self.odd.search(part):
+                self.known[part] = self.encode(part).tobytes()
             else:
-                ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-                self.known[word] = np.array(ids, dtype="<u4").tobytes()
-        new = list({p for _, parts in plain for p in parts}.difference(self.stretches))
-        if new:
-            ids = np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, dtype="<u4")
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) != len(new):
+                plain.append(part)
+        if plain:
+            ids = self.encode(" ".join(plain))
+            ends = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+            if len(ends) != len(plain):
                 raise ValueError("the vocabulary does not mark the ends of words")
             raw, at = ids.tobytes(), 0
-            for part, end in zip(new, (4 * ends).tolist()):
-                self.stretches[part] = raw[at:end]
+            for part, end in zip(plain, ends.tolist()):
+                self.known[part] = raw[at:end]
                 at = end
-        for word, parts in plain:
-            self.known[word] = b"".join([self.stretches[p] for p in parts])
 
 
 @lru_cache(maxsize=2)
